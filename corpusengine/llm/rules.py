@@ -16,6 +16,13 @@ from corpusengine.llm import _common as c
 from corpusengine.llm.stats import NAMES, stats
 
 
+#: Where expectation-maximisation starts: the share of good documents, and how often a voting rule is right on good and on bad ones.
+#: A rule finds one kind of bad document, so it is right on few of the bad but on nearly all of the good.
+PRIOR = (0.9, 0.999, 0.3)
+BOUNDS = ((0.99, 0.9998), (0.1, 0.6))
+STRENGTH = 0.05  # of the start, in documents of the class
+
+
 def _ratio(a: str, b: str) -> Column:
     return F.col(a) / F.greatest(F.col(b), F.lit(1))
 
@@ -30,7 +37,7 @@ def rules() -> list[tuple[str, Column, Column]]:
         ("word_length", length.between(3.2, 9.0), (length < 2.0) | (length > 14.0)),
         ("symbols", symbols < 0.02, symbols > 0.1),
         ("marks", marks < 0.03, marks > 0.2),
-        ("lines", (F.col("n_lines") >= 3) & (dup < 0.1), (F.col("n_lines") >= 3) & (dup > 0.3)),
+        ("lines", (F.col("n_lines") >= 3) & (dup < 0.1), (F.col("n_lines") >= 4) & (dup > 0.4)),
         ("repeats", (F.col("n_words") >= 20) & (repeat < 0.15), (F.col("n_words") >= 20) & (repeat > 0.4)),
         ("capitals", upper < 0.15, upper > 0.4),
         ("runs", same < 0.03, same > 0.1),
@@ -38,31 +45,34 @@ def rules() -> list[tuple[str, Column, Column]]:
     ]
 
 
-def fit(patterns: list[tuple[str, int]], rounds: int = 100, alpha: float = 1.0) -> tuple[dict[str, float], np.ndarray, float]:
-    """patterns: (votes as a string of + - 0, documents). Returns the posterior of good by pattern, the table [class, rule, vote] and the prior."""
+def fit(patterns: list[tuple[str, int]], rounds: int = 200) -> tuple[dict[str, float], np.ndarray, float]:
+    """patterns: (votes as a string of + - 0, documents). Returns the posterior of good by pattern, accuracies [class, rule] and the prior of good.
+
+    A rule is right on a good document with one probability and on a bad one with another, given that it votes at all;
+    an abstention says nothing of the document. Accuracies start from PRIOR and stay within BOUNDS.
+    """
     if not patterns:
-        return {}, np.zeros((2, 0, 3)), 0.9
+        return {}, np.zeros((2, 0)), PRIOR[0]
     n = np.array([k for _, k in patterns], float)
-    votes = np.array([["-0+".index(v) for v in p] for p, _ in patterns])
-    one = np.eye(3)[votes]  # pattern, rule, vote
-    bad = (votes == 0).sum(axis=1)
-    good = np.where(bad == 0, 0.97, np.where(bad == 1, 0.4, 0.05))
+    plus, minus = (np.array([[v == sign for v in p] for p, _ in patterns], float) for sign in "+-")
+    accuracy = np.repeat(np.array([[PRIOR[2]], [PRIOR[1]]]), plus.shape[1], axis=1)  # of bad, of good
+    prior, good = PRIOR[0], np.zeros(len(n))
     for _ in range(rounds):
-        w = np.stack([n * (1 - good), n * good])
-        table = np.einsum("cp,prv->crv", w, one)
-        spread = np.array([0.3, 0.4, 0.3]), np.array([0.05, 0.25, 0.7])  # of the prior, by class
-        table = np.stack([table[k] + alpha * 10 * spread[k] for k in (0, 1)])
-        table /= table.sum(axis=2, keepdims=True)
-        table[0, :, 0] = np.maximum(table[0, :, 0], table[1, :, 0])
-        table[1, :, 2] = np.maximum(table[1, :, 2], table[0, :, 2])
-        table /= table.sum(axis=2, keepdims=True)
-        prior = float(np.clip(w[1].sum() / n.sum(), 0.5, 0.995))
-        log = np.log(np.einsum("crv,prv->cpr", table, one)).sum(axis=2) + np.log([1 - prior, prior])[:, None]
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
+        log_good = plus @ np.log(accuracy[1]) + minus @ np.log(1 - accuracy[1]) + np.log(prior)
+        log_bad = plus @ np.log(1 - accuracy[0]) + minus @ np.log(accuracy[0]) + np.log(1 - prior)
+        new = 1 / (1 + np.exp(np.clip(log_bad - log_good, -700, 700)))
         if np.abs(new - good).max() < 1e-9:
             break
         good = new
-    return {p: float(g) for (p, _), g in zip(patterns, good, strict=True)}, table, prior
+        w_good, w_bad = n * good, n * (1 - good)
+        right = np.stack([w_bad @ minus, w_good @ plus])
+        voted = np.stack([w_bad @ (minus + plus), w_good @ (minus + plus)])
+        strength = STRENGTH * np.maximum(1.0, np.stack([w_bad.sum(), w_good.sum()]))[:, None]
+        start = np.array([[PRIOR[2]], [PRIOR[1]]])
+        accuracy = (right + strength * start) / (voted + strength)
+        accuracy = np.stack([np.clip(accuracy[0], *BOUNDS[1]), np.clip(accuracy[1], *BOUNDS[0])])
+        prior = float(np.clip((w_good.sum() + 1) / (n.sum() + 2), 0.5, 0.999))
+    return {p: float(g) for (p, _), g in zip(patterns, good, strict=True)}, accuracy, prior
 
 
 def judge(docs: DataFrame) -> DataFrame:

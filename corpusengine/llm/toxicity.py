@@ -25,9 +25,9 @@ from corpusengine.llm import _common as c
 from corpusengine.llm.learning import held_out, sample
 
 #: Documented bounds of the sample: labelled rows, and words of a document above which it isn't learnt from.
-SAMPLE, SAMPLE_WORDS = 6_000, 4_000
+SAMPLE, SAMPLE_WORDS = 12_000, 4_000
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 12, (1, 2, 3), 8
-EPOCHS, RATE, BATCH, SEED, THRESHOLD = 12, 0.01, 64, 7, 0.7
+EPOCHS, RATE, BATCH, SEED, THRESHOLD = 8, 0.01, 64, 7, 0.7
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"\w+")
 _KEPT = 100_000  # words whose answers a worker remembers
@@ -65,7 +65,7 @@ class Network:
     def __init__(self) -> None:
         rng = np.random.RandomState(SEED)
         self.offset = np.concatenate(([0], np.cumsum(WIDTHS)))
-        self.e = (rng.randn(BUCKETS, DIM) * 0.1).astype(np.float32)
+        self.e = (rng.randn(BUCKETS, DIM) * 0.01).astype(np.float32)
         self.w = (rng.randn(sum(WIDTHS), DIM, FILTERS) * 0.3).astype(np.float32)  # one block for each place under each filter
         self.b = np.zeros(len(WIDTHS) * FILTERS, np.float32)
         self.out = (rng.randn(len(WIDTHS) * FILTERS) * 0.3).astype(np.float32)
