@@ -19,7 +19,7 @@ from corpusengine.llm.stats import NAMES, stats
 #: Where expectation-maximisation starts: the share of good documents, and how often a voting rule is right on good and on bad ones.
 #: A rule finds one kind of bad document, so it is right on few of the bad but on nearly all of the good.
 PRIOR = (0.9, 0.999, 0.3)
-BOUNDS = ((0.99, 0.9998), (0.1, 0.6))
+BOUNDS = ((0.998, 0.9998), (0.1, 0.6))
 STRENGTH = 0.05  # of the start, in documents of the class
 
 
