@@ -19,7 +19,8 @@ def _grams(text: DataFrame, key: list[str], blob: str, pattern: str, longest: in
     rows = text.select(*key, parts.alias("_p"))
     every = F.array_distinct(F.col("_p"))
     for n in range(2, longest + 1):
-        spans = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_p") - (n - 1), F.lit(1))), lambda i, n=n: F.concat_ws(" ", F.slice("_p", i, n)))
+        width = F.lit(n)
+        spans = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_p") - (n - 1), F.lit(1))), lambda i: F.concat_ws(" ", F.slice("_p", i, width)))  # noqa: B023  used at once
         every = F.array_union(every, F.when(F.size("_p") >= n, spans).otherwise(F.array().cast("array<string>")))
     return rows.select(*key, F.explode(every).alias("term"))
 
@@ -44,4 +45,4 @@ def theta_mentions(terms: DataFrame, texts: DataFrame, key: list[str], blob: str
     """What mentions() and counted() give, literally: every term against every text. For tests and a handful of terms."""
     pattern = T.name_pattern(F.col("term")) if digits else T.letter_pattern(F.col("term"))
     rows = texts.select(*key, F.lower(F.coalesce(F.col(blob), F.lit(""))).alias("_b"))
-    return rows.join(F.broadcast(terms), F.col("_b").rlike(pattern)).withColumn("n", F.regexp_count("_b", pattern).cast("long")).drop("_b")
+    return rows.join(F.broadcast(terms), F.regexp_like("_b", pattern)).withColumn("n", F.regexp_count("_b", pattern).cast("long")).drop("_b")

@@ -28,7 +28,7 @@ def candidates(store: Store) -> DataFrame:
     base = F.regexp_extract("xml_file", r"(?:^|.*/)raw/(.*)$", 1)
     tail = F.when(base != "", base).otherwise(F.concat_ws("/", F.element_at(F.split("_file", "/"), -2), F.element_at(F.split("xml_file", "/"), -1)))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{xml,json}").option("recursiveFileLookup", "true").load(store.raw())
-    files = files.select(F.regexp_extract("path", r".*/raw/(.*)$", 1).alias("_tail"), F.decode("content", F.lit("UTF-8")).alias("raw_xml"))
+    files = files.select(F.regexp_extract("path", r".*/raw/(.*)$", 1).alias("_tail"), F.make_valid_utf8(F.col("content").cast("string")).alias("raw_xml"))
     return lines.withColumn("_tail", tail).join(files, "_tail").withColumn("_at", F.struct("_file", "_line")).drop("_tail", "_file", "_line")
 
 

@@ -127,11 +127,10 @@ def json_sections(raw: Column) -> Column:
 
 
 def _arrow(parse: Callable[[str | None], list[dict]]) -> Callable[[Column], Column]:
-    @F.pandas_udf(SECTIONS)
     def run(raw: pd.Series) -> pd.Series:
         return raw.map(parse)
 
-    return run
+    return lambda raw: F.pandas_udf(run, SECTIONS)(raw)
 
 
 #: Sources and how their documents become sections; any other source is JATS.
