@@ -34,10 +34,10 @@ WEIGHTS = {
     "count": -1.0, "max": -0.7, "min": -0.7, "limit": -0.7, "length": -0.8, "size": -0.8, "type": -0.7, "name": -0.6, "public": -0.8, "file": -0.6, "path": -0.6, "url": -0.6, "id": -0.2, "hint": -0.8, "policy": -0.8,
 }
 THRESHOLD = 1.2
-_PLACEHOLDER = re.compile(r"(?i)^(?:x{4,}|\*{3,}|\.{3,}|<.*>|\$\{.*\}|%\(?\w+\)?s?|(?:your|my|the)[-_ ].*|change[-_ ]?me.*|example.*|placeholder.*|none|null|true|false|todo|redacted)$")
+_PLACEHOLDER = re.compile(r"(?i)^(?:x{4,}|\*{3,}|\.{3,}|<.*>|\[\w*\]|\$\{.*\}|%\(?\w+\)?s?|(?:your|my|the)[-_ ].*|change[-_ ]?me.*|example.*|placeholder.*|none|null|true|false|todo|redacted)$")
 _NAME_END = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]*)["']?\]?[ \t]*$""")
 _OPERATOR = re.compile(r":=|=>|=|:")
-_TERM = re.compile(r"""[ \t]*(?:[bfru]{0,2}"((?:[^"\\\n]|\\.)*)"|[bfru]{0,2}'((?:[^'\\\n]|\\.)*)'|([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_(+/=-])|([A-Za-z0-9+/_=.~!@#$%^&*-]+))""")
+_TERM = re.compile(r"""[ \t]*(?:[bfru]{0,2}"((?:[^"\\\n]|\\.)*)"|[bfru]{0,2}'((?:[^'\\\n]|\\.)*)'|([A-Za-z_][A-Za-z0-9_.]*+)(?![(+/=~!@#$%^&*-])|([A-Za-z0-9+/_=.~!@#$%^&*-]++)(?!\())""")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\|\|)[ \t]*|[ \t]*\.[ \t]+")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
