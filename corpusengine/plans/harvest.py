@@ -6,6 +6,7 @@ import json
 from datetime import UTC, datetime
 from functools import partial
 
+from corpusengine.obs import span
 from corpusengine.plans import analysis, corpus, graph, retrieval, suggest
 from corpusengine.sources import connectors
 from corpusengine.store import Store
@@ -22,7 +23,12 @@ def state(store: Store) -> dict:
 
 def rebuild(store: Store, backend: str = "lsa") -> dict:
     """Every layer from what has landed, the index anew."""
-    return {"datasets": graph.load_datasets(store), "corpus": corpus.build(store), "links": graph.build(store), "index": retrieval.build_index(store, backend, force=True), "validate": analysis.validate(store)}
+    steps = {"datasets": graph.load_datasets, "corpus": corpus.build, "links": graph.build, "index": partial(retrieval.build_index, backend=backend, force=True), "validate": analysis.validate}
+    out = {}
+    for name, step in steps.items():
+        with span(f"rebuild.{name}") as more:
+            more["result"] = out[name] = step(store)
+    return out
 
 
 def run(store: Store, topics_path: str, limit: int = 15, backend: str = "lsa", suggestions: bool = True, structured: dict | None = None, documents: dict | None = None) -> dict:
@@ -34,7 +40,9 @@ def run(store: Store, topics_path: str, limit: int = 15, backend: str = "lsa", s
     store.put_text(STATE, json.dumps(held, indent=2, sort_keys=True))
     out["documents"] = suggest.harvest(plan.get("documents", {}), bind(connectors.DOCUMENTS if documents is None else documents), limit, held, now)
     store.put_text(STATE, json.dumps(held, indent=2, sort_keys=True))
-    out |= {"corpus": corpus.build(store), "links": graph.build(store), "index": retrieval.build_index(store, backend), "validate": analysis.validate(store)}
+    for name, step in {"corpus": corpus.build, "links": graph.build, "index": partial(retrieval.build_index, backend=backend), "validate": analysis.validate}.items():
+        with span(f"harvest.{name}") as more:
+            more["result"] = out[name] = step(store)
     if suggestions:
         out["suggested"] = suggest.suggest(analysis.facts(store), topics_path)
     return out

@@ -307,3 +307,21 @@ def test_harvest_all(store, tmp_path):
     out = harvest.run(store, str(path), structured={"chembl": land}, documents={})
     assert out["structured"] == 1 and out["datasets"]["chembl_molecules"] == 1 and out["links"]["entity_drugs"] == 1 and harvest.state(store)["chembl\tfentanyl"]["last_ok"]
     assert out["index"]["n_chunks"] == 0 and out["validate"]["ok"]
+
+
+def test_log(tmp_path, monkeypatch):
+    from corpusengine import obs
+
+    monkeypatch.setenv("CORPUSENGINE_LOG", str(tmp_path / "log"))
+    with obs.span("good", a=1) as more:
+        more["n"] = 2
+    with pytest.raises(ValueError), obs.span("bad"):
+        raise ValueError("x")
+    good, bad = map(json.loads, (tmp_path / "log").read_text().splitlines())
+    assert (good["event"], good["ok"], good["a"], good["n"]) == ("good", True, 1, 2) and not bad["ok"] and bad["error"] == "ValueError: x"
+
+
+def test_rebuild(built):
+    s, out = built
+    again = harvest.rebuild(s)
+    assert again["datasets"] == out["datasets"] and again["links"]["entity_drugs"] == 2 and again["validate"]["n_documents"] == again["corpus"]["documents"]
