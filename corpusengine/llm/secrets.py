@@ -34,6 +34,8 @@ WEIGHTS = {
     "count": -1.0, "max": -0.7, "min": -0.7, "limit": -0.7, "length": -0.8, "size": -0.8, "type": -0.7, "name": -0.6, "public": -0.8, "file": -0.6, "path": -0.6, "url": -0.6, "id": -0.2, "hint": -0.8, "policy": -0.8,
 }
 THRESHOLD = 1.2
+#: Characters of a target name at most, and literals that a name carries on (a = a + a would double them each time).
+LONGEST_NAME, MOST_PIECES = 4096, 64
 _PLACEHOLDER = re.compile(r"(?i)^(?:x{4,}|\*{3,}|\.{3,}|<.*>|\[\w*\]|\$\{.*\}|%\(?\w+\)?s?|(?:your|my|the)[-_ ].*|change[-_ ]?me.*|example.*|placeholder.*|none|null|true|false|todo|redacted)$")
 _NAME_END = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]*)["']?\]?[ \t]*$""")
 _OPERATOR = re.compile(r":=|=>|=|:")
@@ -74,9 +76,8 @@ def assignments(text: str):
         s, e = op.span()
         if text[s - 1 : s] in ("=", "!", "<", ">") or text[e : e + 1] in ("=", "/") and text[e : e + 2] in ("==", "//", "= "):
             continue
-        line = text.rfind("\n", 0, s) + 1
-        left = s
-        while left > line and (text[left - 1].isalnum() or text[left - 1] in "_.-\"'] \t") and s - left < 4096:
+        left, least = s, max(0, s - LONGEST_NAME)
+        while left > least and (text[left - 1].isalnum() or text[left - 1] in "_.-\"'] \t"):
             left -= 1
         name = _NAME_END.search(text, left, s)
         if not name:
@@ -102,7 +103,7 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
         pieces = []
         for kind, value, s, e in terms:
             pieces += [(value, s, e)] if kind == "literal" else bound.get(value, [] if len(terms) > 1 else [(value, s, e)])
-        bound[target] = pieces[:64]
+        bound[target] = pieces[:MOST_PIECES]
         score = name_score(target)
         if score > 0:
             whole = literal_score("".join(v for v, _, _ in pieces))
