@@ -6,6 +6,8 @@ operators decide what it means; every operator names its case in its docstring.
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,8 +43,14 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of finished, checkpointed stages go when the driver collects its garbage; ask for it."""
-    spark.sparkContext._jvm.System.gc()
+    """Shuffle files of finished, checkpointed stages go when the driver's JVM collects its garbage; ask for it.
+
+    Drop the frames that led there first. Their JVM twins are let go by a thread of the gateway, so it is asked twice.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
 
 
 def fold(mod: int, doc_id: str = "doc_id") -> Column:

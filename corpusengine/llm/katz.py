@@ -344,6 +344,7 @@ def katz(docs: DataFrame, held_out: F.Column) -> tuple[DataFrame, DataFrame, Dat
     parts = max(1, chunks.count())  # the model grows with the corpus
     asked = chunks.mapInArrow(_ask_words(parts), _ROWS)
     words = c.settle(asked.groupBy("part").applyInArrow(_count_words(parts), _ROWS))
+    del asked
     c.free_shuffles(docs.sparkSession)
     sums = _sums(words)
     unigrams = Unigrams([0, *sums[1 : K + 2]], sums[K + 2], sums[0])
@@ -351,6 +352,7 @@ def katz(docs: DataFrame, held_out: F.Column) -> tuple[DataFrame, DataFrame, Dat
     known = words.filter(F.col("kind") == _WORDS)
     requests = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_ask_pairs(parts, hot), _ROWS)
     pairs = c.settle(requests.groupBy("part").applyInArrow(_count_pairs(unigrams), _ROWS))
+    del requests
     c.free_shuffles(docs.sparkSession)
     d = discounts([0, *_sums(pairs)[1 : K + 2]])
     answers = known.unionByName(pairs.filter(F.col("kind") == _PAIRS))
