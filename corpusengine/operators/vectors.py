@@ -33,6 +33,12 @@ def idf(vocab: DataFrame, n_docs: int) -> DataFrame:
     return vocab.withColumn("idf", F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1)
 
 
+def weighted(docs: DataFrame, keys: list[str], text: str, terms: DataFrame) -> DataFrame:
+    """keys, term, weight: log1p(count) x idf of the vocabulary's terms in each document, in long form."""
+    counts = docs.select(*keys, F.explode(T.tokens(F.col(text))).alias("term")).join(terms.select("term", "idf"), "term").groupBy(*keys, "term", "idf").agg(F.count("*").alias("n"))
+    return counts.select(*keys, "term", (F.log1p("n") * F.col("idf")).alias("weight"))
+
+
 def words(text: str | None) -> list[str]:
     return [t for t in _TOKEN.findall((text or "").lower()) if t not in _STOP]
 

@@ -431,3 +431,114 @@ def lsa_rank(spark, d):
     model = vectors.fit(docs, "text", dims=16)
     index = vectors.embed(docs, "text", model)
     return retrieval.top_k(index, "vector", model.embed_query("the of and that with heat thing"), 10, ["pmcid", "chunk_id"]).select("pmcid", "chunk_id", F.round("score", 4).alias("score"))
+
+
+# ---- names, weights, payloads
+
+_LIST = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+_NORM = f"""coalesce(list_filter(parts, lambda x: NOT list_contains({_LIST(T.SALTS + T.STEREO)}, x))[1], parts[1])"""
+_ALLOWED = f"length({{x}}) >= 5 AND NOT list_contains({_LIST(T.COMMON_SUBSTANCES)}, {{x}})"
+
+
+@query(f"""
+SELECT doc_id, CASE WHEN {_ALLOWED.format(x="head")} THEN head END AS drug_norm FROM (
+  SELECT doc_id, {_NORM} AS head FROM (SELECT doc_id, regexp_extract_all(lower(split_part(text, ' ', 2) || '-' || split_part(text, ' ', 3) || ' Sodium (R)'), '[a-z]+') AS parts FROM documents))
+""")
+def drug_names(spark, d):
+    name = F.concat(F.split_part("text", F.lit(" "), F.lit(2)), F.lit("-"), F.split_part("text", F.lit(" "), F.lit(3)), F.lit(" Sodium (R)"))
+    return table(spark, d, "documents").select("doc_id", T.drug_norm(name).alias("drug_norm"))
+
+
+@query(f"""
+SELECT doc_id, CASE WHEN len(parts) = 1 AND {_ALLOWED.format(x="parts[1]")} THEN parts[1] END AS term FROM (
+  SELECT doc_id, regexp_extract_all(lower(split_part(text, ' ', 2)), '[a-z]+') AS parts FROM documents)
+""")
+def drug_terms(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.drug_term(F.split_part("text", F.lit(" "), F.lit(2))).alias("term"))
+
+
+@query(f"""
+SELECT p_partkey, term FROM (
+  SELECT p_partkey, unnest(list_distinct(list_transform(list_filter([regexp_extract_all(lower(p_brand), '[a-z0-9]+'), regexp_extract_all(lower(p_name), '[a-z0-9]+'), regexp_extract_all(lower(p_type), '[a-z0-9]+')],
+    lambda p: CASE WHEN len(p) = 1 THEN (length(p[1]) >= 4 AND NOT list_contains({_LIST(T.GENERIC_PROTEIN_WORDS)}, p[1])) OR (p[1] = lower(p_brand) AND length(p[1]) >= 3)
+      ELSE len(list_filter(p, lambda t: length(t) >= 4 AND NOT list_contains({_LIST(T.GENERIC_PROTEIN_WORDS)}, t))) > 0 END), lambda p: array_to_string(p, ' ')))) AS term FROM part)
+""")
+def protein_terms(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.explode(T.protein_terms(F.col("p_brand"), F.concat_ws(";", "p_name", "p_type"))).alias("term"))
+
+
+@query(r"""
+SELECT doc_id, CASE WHEN len(w) < 20 THEN 0.0 ELSE round(list_max(list_transform(map_values(list_histogram(w)), lambda v: CAST(v AS BIGINT))) / len(w), 6) END AS repeat_ratio
+FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents)
+""")
+def repeat_ratio(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.round(T.repeat_ratio(F.col("text")), 6).alias("repeat_ratio"))
+
+
+@query(f"SELECT doc_id, CAST(len(list_filter(regexp_extract_all(lower(text), '{T.TOKEN}'), lambda t: NOT list_contains({_LIST(T.STOP_WORDS)}, t))) AS INTEGER) AS n_tokens FROM documents")
+def token_count(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.size(T.tokens(F.col("text"))).alias("n_tokens"))
+
+
+@query(f"""
+WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (SELECT term, df FROM ({_DF}) ORDER BY df DESC, term LIMIT 50)),
+t AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{T.TOKEN}')) AS term FROM documents) GROUP BY doc_id, term)
+SELECT doc_id, term, round(ln(1 + n) * idf, 6) AS weight FROM t JOIN v USING (term)
+""")
+def term_weights(spark, d):
+    docs = table(spark, d, "documents")
+    return vectors.weighted(docs, ["doc_id"], "text", vectors.idf(vectors.vocabulary(docs, "text", min_df=2, size=50), docs.count())).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("SELECT doc_id, text FROM (SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda x: x <> ''), ' ') AS text FROM documents) WHERE text <> ''")
+def inverted_index(spark, d):
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    index = table(spark, d, "documents").select("doc_id", F.posexplode(words).alias("at", "word")).groupBy("doc_id", "word").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    maps = index.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("index"))
+    return maps.select("doc_id", T.inverted_to_text(F.col("index")).alias("text"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.absent') AS absent FROM events")
+def json_flatten(spark, d):
+    return table(spark, d, "events").withColumn("j", F.from_json("props", "k bigint, absent string")).select("event_id", F.col("j.k").alias("k"), F.col("j.absent").alias("absent"))
+
+
+@query("""
+SELECT year(o_orderdate) AS pub_year, count(DISTINCT o_custkey) AS papers FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE c.c_acctbal > 0 AND o_orderdate IS NOT NULL GROUP BY year(o_orderdate)
+""")
+def trends(spark, d):
+    primary = table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
+    orders = table(spark, d, "orders").filter("o_orderdate is not null").select("o_custkey", F.year("o_orderdate").cast("bigint").alias("pub_year"))
+    return orders.join(primary, "o_custkey", "left_semi").groupBy("pub_year").agg(F.countDistinct("o_custkey").alias("papers"))
+
+
+@query(f"SELECT term FROM (VALUES {_VALUES}) t(term) WHERE length(term) >= 3 AND contains('what is the answer, und warum, or that with which one works', term) ORDER BY length(term) DESC, term LIMIT 1")
+def first_named_term(spark, d):
+    return _terms(spark).filter((F.length("term") >= 3) & F.lit("what is the answer, und warum, or that with which one works").contains(F.col("term"))).orderBy(F.desc(F.length("term")), "term").limit(1)
+
+
+@query("SELECT d.lang, count(*) AS chunks, count(*) FILTER (WHERE l.doc_id IS NULL) AS embedded FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) GROUP BY d.lang")
+def index_refresh(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("pmcid"), F.lit(0).alias("chunk_id"), "text", "lang")
+    prior = docs.join(table(spark, d, "labels").select(F.col("doc_id").alias("pmcid")), "pmcid", "left_semi").select("pmcid", "chunk_id", F.md5("text").alias("text_hash"), F.array(F.lit(0.0)).alias("vector"))
+    fresh = lambda rows: rows.select("pmcid", "chunk_id", F.md5("text").alias("text_hash"), F.array(F.lit(1.0)).alias("vector"))
+    index = vectors.refreshed(docs.drop("lang"), "text", prior, fresh)
+    return index.join(docs.select("pmcid", "lang"), "pmcid").groupBy("lang").agg(F.count("*").alias("chunks"), F.count_if(F.col("vector")[0] == 1.0).alias("embedded"))
+
+
+@query(f"""
+WITH h AS (SELECT q.vec_id AS query, e.label = q.label AS hit, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, e.vec_id) AS r
+  FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id IN (1, 2, 3)) q WHERE e.vec_id <> q.vec_id)
+SELECT round(avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall, round(avg(1.0 / r), 6) AS mrr FROM (SELECT query, min(r) AS r FROM h WHERE hit GROUP BY query)
+""")
+def retrieval_metrics(spark, d):
+    """Three queries against every vector; an answer of the same label counts."""
+    e = table(spark, d, "embeddings")
+    hits, gold = None, None
+    for q in e.filter(F.col("vec_id").isin(1, 2, 3)).collect():
+        rest = e.filter(F.col("vec_id") != q["vec_id"]).select("label", "vec_id", "embedding")
+        got = retrieval.scored(rest, "embedding", q["embedding"]).select(F.lit(q["vec_id"]).alias("query"), F.col("vec_id").alias("id"), "score")
+        want = rest.filter(F.col("label") == q["label"]).select(F.lit(q["vec_id"]).alias("query"), F.col("vec_id").alias("id"))
+        hits, gold = (got, want) if hits is None else (hits.unionByName(got), gold.unionByName(want))
+    m = retrieval.recall_at(hits, gold, 5)
+    return m.select(F.round("recall", 6).alias("recall"), F.round("mrr", 6).alias("mrr"))
