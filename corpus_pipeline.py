@@ -22,12 +22,11 @@ def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, rules.judge(docs).filter("kept"))
+    return rules.keep(docs).select(*COLUMNS)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _keep(docs, toxicity.classify(docs, labels).filter("predicted = 0"))
+    return toxicity.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

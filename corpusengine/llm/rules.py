@@ -9,6 +9,7 @@ the classes keep their meaning. A fixed base test (too short, too repetitive) ov
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,24 +25,24 @@ STRENGTH = 0.05  # of the start, in documents of the class
 
 
 def _ratio(a: str, b: str) -> Column:
-    return F.col(a) / F.greatest(F.col(b), F.lit(1))
+    return F.col(f"_s.{a}") / F.greatest(F.col(f"_s.{b}"), F.lit(1))
 
 
 def rules() -> list[tuple[str, Column, Column]]:
-    """(name, votes good, votes bad); neither: it abstains."""
+    """(name, votes good, votes bad) of a row with its statistics in _s; neither: it abstains."""
     length, symbols, marks = _ratio("word_chars", "n_words"), _ratio("n_symbols", "n_words"), _ratio("n_marks", "n_words")
     dup, repeat = _ratio("n_dup_lines", "n_lines"), _ratio("n_repeat_words", "n_words")
     upper, distinct, same, top = _ratio("n_upper", "n_letters"), _ratio("n_distinct", "n_words"), _ratio("n_same_next", "n_words"), _ratio("top_word", "n_words")
     return [
-        ("length", F.col("n_words").between(60, 100_000), F.col("n_words") < 25),
+        ("length", F.col("_s.n_words").between(60, 100_000), F.col("_s.n_words") < 25),
         ("word_length", length.between(3.2, 9.0), (length < 2.0) | (length > 14.0)),
         ("symbols", symbols < 0.02, symbols > 0.1),
         ("marks", marks < 0.03, marks > 0.2),
-        ("lines", (F.col("n_lines") >= 3) & (dup < 0.1), (F.col("n_lines") >= 4) & (dup > 0.4)),
-        ("repeats", (F.col("n_words") >= 20) & (repeat < 0.15), (F.col("n_words") >= 20) & (repeat > 0.4)),
+        ("lines", (F.col("_s.n_lines") >= 3) & (dup < 0.1), (F.col("_s.n_lines") >= 4) & (dup > 0.4)),
+        ("repeats", (F.col("_s.n_words") >= 20) & (repeat < 0.15), (F.col("_s.n_words") >= 20) & (repeat > 0.4)),
         ("capitals", upper < 0.15, upper > 0.4),
         ("runs", same < 0.03, same > 0.1),
-        ("top_word", (F.col("n_words") >= 50) & (top < 0.15), (F.col("n_words") >= 20) & (top > 0.3)),
+        ("top_word", (F.col("_s.n_words") >= 50) & (top < 0.15), (F.col("_s.n_words") >= 20) & (top > 0.3)),
     ]
 
 
@@ -75,22 +76,45 @@ def fit(patterns: list[tuple[str, int]], rounds: int = 200) -> tuple[dict[str, f
     return {p: float(g) for (p, _), g in zip(patterns, good, strict=True)}, accuracy, prior
 
 
+_STATS = "struct<" + ",".join(f"{n}:bigint" for n in NAMES) + ">"
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """docs with _s (the text's statistics), _votes and _failed (the base test)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        cols = zip(*(stats(t.as_py()) for t in texts), strict=True)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols] or [pa.array([], pa.int64())] * len(NAMES), NAMES)
+
+    counted = F.arrow_udf(run, _STATS)(F.col("text").cast("string").cast("binary"))
+    votes = F.concat(*[F.when(good, "+").when(bad, "-").otherwise("0") for _, good, bad in rules()])
+    failed = (F.col("_s.n_words") < 50) | (100 * F.col("_s.n_repeat_words") > 50 * F.col("_s.n_words"))
+    return docs.withColumn("_s", counted).withColumn("_votes", votes).withColumn("_failed", failed)
+
+
+def _posterior(votes: DataFrame) -> DataFrame:
+    """votes, quality: the posterior of every vote pattern of these documents; at most 3^rules rows, here and on the driver."""
+    seen = sorted((r["_votes"], int(r["n"])) for r in votes.groupBy("_votes").agg(F.count("*").alias("n")).collect())
+    posterior, _, _ = fit(seen)
+    return votes.sparkSession.createDataFrame(sorted(posterior.items()), "_votes string, quality double")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, quality: a row for each row of docs.
 
     Null and empty texts have no words, fail the base test and aren't kept. Repeated rows are judged alike.
     """
-    wide = c.map_rows(c.texts(docs), lambda doc_id, raw: (doc_id, *stats(raw)), "doc_id long, " + ", ".join(f"{n} long" for n in NAMES))
-    pattern = F.concat(*[F.when(good, "+").when(bad, "-").otherwise("0") for _, good, bad in rules()])
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    made = c.settle(wide.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), pattern.alias("votes")))
-    seen = sorted((r["votes"], int(r["n"])) for r in made.groupBy("votes").agg(F.count("*").alias("n")).collect())  # at most 3^rules rows
-    posterior, _, _ = fit(seen)
-    spark = docs.sparkSession
-    known = F.broadcast(spark.createDataFrame(sorted(posterior.items()), "votes string, quality double"))  # as many
-    out = made.join(known, "votes", "left")
+    wide = _measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    made = c.settle(wide.select("doc_id", *[F.col(f"_s.{n}") for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], F.col("_failed").alias("base_failed"), "_votes"))
+    out = made.join(F.broadcast(_posterior(made)), "_votes", "left")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("quality") >= 0.5)).alias("kept"), "quality")
 
 
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of docs that judge() keeps, unchanged. Texts are read and measured twice, so that they are never shuffled."""
+    known = _posterior(_measured(docs.select("text")).select("_votes")).filter("quality >= 0.5").select("_votes")
+    return _measured(docs).filter(~F.col("_failed")).join(F.broadcast(known), "_votes", "left_semi").drop("_s", "_votes", "_failed")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(c.documents(spark, sf_dir))

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusengine.llm import _common as c
@@ -236,17 +236,28 @@ class Scorer:
         return self.net.score(self.net.logit(self.net.maxima(self.table, index)[0]), guess(words))
 
 
-def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted: a row for each row of docs. Null and empty texts have no words: the score of the biases alone; a null doc_id isn't held out."""
+def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Callable[[Column], Column]:
+    """A column function, from a text (as binary) to its score, of a network trained on docs and labels."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))  # BUCKETS x DIM numbers, at any size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([scorer(x.as_py()) for x in b.column("text")], pa.float64())], ["doc_id", "held_out", "score"])
+        for texts in batches:
+            yield pa.array([scorer(x.as_py()) for x in texts], pa.float64())
+
+    return F.arrow_udf(run, "double")
+
+
+def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
+    """doc_id, held_out, score, predicted: a row for each row of docs. Null and empty texts have no words: the score of the biases alone; a null doc_id isn't held out."""
+    scored = c.texts(docs, held_out()).select("doc_id", "held_out", score(docs, labels, rows)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
 
-    out = c.texts(docs, held_out()).mapInArrow(run, "doc_id long, held_out boolean, score double")
-    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def keep(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
+    """The rows of docs that aren't predicted toxic, unchanged; no shuffle."""
+    mark = score(docs, labels, rows)(F.col("text").cast("string").cast("binary"))
+    return docs.withColumn("_toxic", mark).filter(F.col("_toxic") < THRESHOLD).drop("_toxic")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
