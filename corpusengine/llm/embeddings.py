@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from corpusengine.llm import _common as c
 from corpusengine.llm.components import components
 
-THRESHOLD, BLOCK, STRIP, LEAD, BOX, SAMPLE = 0.95, 4096, 256, 16, 8, 8192
+#: BLOCK: vectors of a block at most (by expectation); smaller ones only while there are fewer pairs of blocks than tasks to run.
+THRESHOLD, BLOCK, LEAST_BLOCK, STRIP, LEAD, BOX, SAMPLE = 0.95, 32_768, 1024, 128, 16, 8, 8192
 _EPS = 1e-9
 
 
@@ -124,7 +125,8 @@ def links(groups: DataFrame, threshold: float) -> DataFrame:
     """groups: (rep long, n long, v binary), v different -> (rep, links, root): links counts vectors, root is a linked node or rep itself."""
     spark = groups.sparkSession
     out = None
-    for dim in sorted(r["d"] for r in groups.select((F.length("v") / 8).cast("int").alias("d")).distinct().limit(1000).collect()):
+    lengths = groups.select((F.length("v") / 8).cast("int").alias("d")).distinct().collect()  # a table has one, or few
+    for dim in sorted(r["d"] for r in lengths):
         found = _links(groups.filter(F.length("v") == 8 * dim), dim, threshold)
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], "rep long, links long, root long") if out is None else out
@@ -134,7 +136,8 @@ def _links(groups: DataFrame, dim: int, threshold: float) -> DataFrame:
     spark = groups.sparkSession
     rotation = axes(groups, dim)
     n = groups.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n / (BLOCK / 2))))))
+    size = int(np.clip(n / np.sqrt(6 * spark.sparkContext.defaultParallelism), min(LEAST_BLOCK, BLOCK), BLOCK))
+    depth = max(0, int(np.ceil(np.log2(max(1, n / size)))))
     picked = groups.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
     model = spark.sparkContext.broadcast((rotation, tree(_unit(_stack(picked)) @ rotation, min(depth, 12))))  # d x d, and the cuts
 
@@ -146,8 +149,8 @@ def _links(groups: DataFrame, dim: int, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_cells(x, cuts)), b.column("rep"), b.column("n"), pa.array([z.tobytes() for z in x], pa.binary())], ["cell", "rep", "n", "x"])
 
     placed = c.settle(groups.select("rep", "n", "v").mapInArrow(place, "cell long, rep long, n long, x binary"))
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("held"))
-    blocked = placed.join(sizes, "cell").select((F.col("cell") * (1 << 20) + F.pmod(F.xxhash64("rep"), F.ceil(F.col("held") / BLOCK))).alias("block"), "rep", "n", "x")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("held"))  # at most 2^12 cells
+    blocked = placed.join(F.broadcast(sizes), "cell").select((F.col("cell") * (1 << 20) + F.pmod(F.xxhash64("rep"), F.ceil(F.col("held") / size))).alias("block"), "rep", "n", "x")
 
     def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
