@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ def _report(s: Store, a) -> object:
     if a.topic:
         found = retrieval.retrieve(s, a.topic, 8, graph=False)["chunks"]
         text += "\n\n## Evidence\n" + "\n".join(f"- [{x['id']}] {x['text'][:320].strip()}" for x in found)
+    if a.save:
+        s.put_text(f"reports/{datetime.now(UTC):%Y-%m-%dT%H%M%S}.md", text)
     return text
 
 
@@ -86,7 +89,7 @@ COMMANDS: dict[tuple[str, ...], tuple[Callable, list]] = {
     ("links", "discover"): (lambda s, a: retrieval.papers_for_drug(s, a.query, a.k), [Q, K]),
     ("links", "discover-protein"): (lambda s, a: retrieval.papers_for_gene(s, a.query, a.k), [Q, K]),
     ("facts",): (lambda s, a: analysis.facts(s) if a.json else analysis.sheet(analysis.facts(s)), [("--json", {"action": "store_true"})]),
-    ("report",): (_report, [("--topic", {})]),
+    ("report",): (_report, [("--topic", {}), ("--save", {"action": "store_true"})]),
     ("validate",): (lambda s, a: analysis.validate(s), [("--json", {"action": "store_true"})]),
     ("rag",): (
         lambda s, a: retrieval.retrieve(s, a.query, a.k, not a.no_graph, min_score=a.min_score, sources=a.source, sec_types=a.section, kinds=a.kind),

@@ -145,6 +145,7 @@ def test_cli(built, capsys, tmp_path):
     s, _ = built
     assert cli.main(["--root", s.root, "facts"]) == 0 and "# Facts" in capsys.readouterr().out
     assert cli.main(["--root", s.root, "rag", "fentanyl", "-k", "1", "--source", "openalex"]) == 0 and json.loads(capsys.readouterr().out)["n"] == 1
+    assert cli.main(["--root", s.root, "report", "--topic", "fentanyl", "--save"]) == 0 and "## Evidence" in capsys.readouterr().out
     assert cli.main(["--root", str(tmp_path), "run", "--n", "200"]) == 0 and json.loads(capsys.readouterr().out)[1] == {"events_raw": 200}
 
 
