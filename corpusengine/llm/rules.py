@@ -86,7 +86,8 @@ def _measured(docs: DataFrame) -> DataFrame:
         cols = zip(*(stats(t.as_py()) for t in texts), strict=True)
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols] or [pa.array([], pa.int64())] * len(NAMES), NAMES)
 
-    counted = F.arrow_udf(run, _STATS)(F.col("text").cast("string").cast("binary"))
+    once = F.arrow_udf(run, _STATS).asNondeterministic()  # else filters and votes would each measure the text
+    counted = once(F.col("text").cast("string").cast("binary"))
     votes = F.concat(*[F.when(good, "+").when(bad, "-").otherwise("0") for _, good, bad in rules()])
     failed = (F.col("_s.n_words") < 50) | (100 * F.col("_s.n_repeat_words") > 50 * F.col("_s.n_words"))
     return docs.withColumn("_s", counted).withColumn("_votes", votes).withColumn("_failed", failed)
