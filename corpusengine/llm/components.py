@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     flipped = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     near = edges.unionByName(flipped) if large else edges
     least = near.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m") if large else F.col("m"))
-    met = near.join(least, near["u"] == least["k"])
+    # Joined on ~u: else the aggregate's partitioning would serve the join too, in one stage, where a hot node can't be split.
+    met = near.join(least, F.bitwise_not(near["u"]) == F.bitwise_not(least["k"]))
     if large:  # larger neighbours go to the smallest
         out = met.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:  # the smaller neighbours, and the node itself, go to the smallest
