@@ -30,12 +30,14 @@ _CUT = re.compile(r"(?<=\S)[ \n]")
 
 
 class Codec:
-    """One vocabulary of byte-level BPE: ids of a text and back."""
+    """One vocabulary of byte-level BPE: ids of a text and back. added: tokens that stand for themselves, by their content."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF, added: dict[str, int] | None = None):
         self._core = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self._bytes = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+        self._added = {k: i for k, i in (added or {}).items() if k}
+        self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
+        self._bytes = [b""] * (max([*ranks.values(), *self._added.values()]) + 1)
+        for token, rank in [*ranks.items(), *((k.encode(), i) for k, i in self._added.items())]:
             self._bytes[rank] = token
         self._size = [len(x) for x in self._bytes]
         self.names = [str(i) for i in range(len(self._bytes))]
@@ -44,6 +46,12 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return self._node(text, 0, len(text)) if text else []
 
+    def encode_added(self, text: str) -> list[int]:
+        """As the library with its default settings: an added token in the text is its id, the parts between are encoded each."""
+        if not any(k in text for k in self._added):
+            return self.encode(text)
+        return [i for k, part in enumerate(self._split.split(text)) for i in ([self._added[part]] if k % 2 else self.encode(part))]
+
     def _node(self, text: str, lo: int, hi: int) -> list[int]:
         if hi - lo <= self.leaf:
             return self._core.encode_ordinary(text[lo:hi])
@@ -97,10 +105,21 @@ def ranks_of_json(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[ch] for ch in token): i for token, i in model["model"]["vocab"].items() if token not in special}
 
 
+def added_of_json(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer.json, found in a text as they are written there."""
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens", [])
+    if odd := [x["content"] for x in added if any(x.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]:
+        raise ValueError(f"added tokens that take or ask for what is round them: {odd}")
+    return {x["content"]: x["id"] for x in added}
+
+
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str = public_tokenizers.PATTERN, leaf: int = LEAF) -> Codec:
     """Built once in each Python worker."""
-    return Codec(ranks_of_json(path) if path.endswith(".json") else ranks_of_tiktoken(path), pattern, leaf)
+    if path.endswith(".json"):
+        return Codec(ranks_of_json(path), pattern, leaf, added_of_json(path))
+    return Codec(ranks_of_tiktoken(path), pattern, leaf)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:

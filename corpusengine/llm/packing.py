@@ -39,7 +39,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     """A row for each piece of each document; an empty or null text is the end id alone."""
 
     def row(doc_id: int | None, raw: bytes | None) -> tuple:
-        ids = codec(vocabulary).encode((raw or b"").decode("utf-8", "replace"))
+        ids = codec(vocabulary).encode_added((raw or b"").decode("utf-8", "replace"))
         ids.append(END)
         data = np.array(ids, dtype="<u4")
         return doc_id, [(k, s, n, zlib.crc32(data[s : s + n].tobytes())) for k, (s, n) in enumerate(cut(len(ids), capacity))]

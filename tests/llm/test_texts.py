@@ -55,6 +55,19 @@ def test_json_vocabulary_is_that_of_the_library():
     assert [bpe.codec(JSON).encode(t) for t in texts] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_those_of_the_library(docs):
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(JSON)  # with its default settings
+    end = "<|endoftext|>"
+    texts = [end, f"end {end} next", f"a{end}{end}b", f"{end}\n\n x  {end} ", f"<|endoftext|{end}|>", "plain <|endoftext text", "", "wörd " * 3000 + end + " x" * 3000]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    code = bpe.codec(JSON)
+    assert [code.encode_added(t) for t in texts] == want and want[1] == [437, 220, 50256, 1306]
+    assert [code.decode(ids).decode() for ids in want] == texts
+    rows = packing.pieces(docs(texts), JSON, 1 << 20).collect()
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {i: (len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, ids in enumerate(want)}
+
+
 # ---- packing
 
 
