@@ -206,6 +206,19 @@ def test_lexer_adds_named_literals():
         assert found(harmless or "") == [], harmless
 
 
+def test_lexer_takes_other_forms_of_values():
+    v = "Tr0ub4dor&3xyz"
+    for text in (f'db_pwd: Optional[str] = "{v}"', f'const dbPwd: string = "{v}"', f'var dbPwd string = "{v}"', f'char pwd[] = "{v}"', f'db_pwd = """{v}"""', f"db_pwd = '''\n{v}\n'''", f'db_pwd = ["{v}"]', f"db_pwd: |\n  {v}\nnext: 1", f"a:\n  db_pwd: >-\n    {v}\n  b: c", f"db_pwd:\n  - {v}\n", f'db_pwd =\n    "{v}"', f'db_pwd = \\\n    "{v}"'):
+        assert found(text) == [v], text
+    assert found('client_secret: str = "k9Q-zz81_kkPwQ2"') == ["k9Q-zz81_kkPwQ2"]
+    assert found(f'db_pwd = ["{v}", ("Zx81-kk" "_PwQ2!a")]') == [v, "Zx81-kk", "_PwQ2!a"]
+    for text in ('db_pwd = "Tr0ub4"\ndb_pwd += "dor&3xyz"', 'db_pwd = (\n  "Tr0ub4" +\n  "dor&3xyz"\n)\n'):
+        assert found(text) == ["Tr0ub4", "dor&3xyz"]
+    assert found("auth_credential = a\na = b\nb = a\nb = 'Zx81-kk_PwQ2!a'\n") == ["Zx81-kk_PwQ2!a"]  # defined after its use, in a circle
+    for harmless in ('class Token:\n    "A token."', 'password_help = """\nThis text tells you what to do.\nIt is long and harmless prose.\n"""', 'secret_key = {"name": "John Smith"}'):
+        assert found(harmless) == [], harmless
+
+
 def test_op7_and_redaction(docs, odd):
     rows = secrets.scan(odd).collect()
     assert len(rows) == odd.count() and {r["doc_id"]: r["n_hex"] for r in rows}[8] == 1  # a long run of a
