@@ -219,6 +219,13 @@ def test_lexer_takes_other_forms_of_values():
         assert found(harmless) == [], harmless
 
 
+def test_a_name_carries_all_its_pieces():
+    lines = "".join(f'k = k + "Zx81kk{i:04d}"\n' for i in range(500))
+    assert len(found(lines + "private_key = k\n")) == 500
+    assert "Zx81kk" not in secrets.redacted((lines + "private_key = k\n").encode())
+    assert found('a = "Zx81-kk_PwQ2!a"\n' + "a = a + a\n" * 5000 + "passphrase = a\n") == ["Zx81-kk_PwQ2!a"]
+
+
 def test_op7_and_redaction(docs, odd):
     rows = secrets.scan(odd).collect()
     assert len(rows) == odd.count() and {r["doc_id"]: r["n_hex"] for r in rows}[8] == 1  # a long run of a
