@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from corpusengine.llm import packing, rules, secrets, simhash, toxicity
 from corpusengine.llm._common import settle
@@ -16,11 +15,6 @@ from corpusengine.llm._common import settle
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in ids; one without doc_id can't be told apart and goes."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep(docs).select(*COLUMNS)
 
@@ -30,8 +24,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest doc_id stays."""
-    return _keep(docs, simhash.near_duplicates(docs).filter("doc_id = component_id"))
+    """Of each component one row stays: that of the smallest doc_id, or any one where none has a doc_id."""
+    return simhash.single(docs.select(*COLUMNS))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,5 +187,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def single(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, unchanged: the smallest doc_id (null last), then the smallest hash of the row.
+
+    Rows are told apart as rows: of repeated ones one stays, and a group without any doc_id keeps one too.
+    """
+    rows = c.settle(docs.withColumn("_row", F.monotonically_increasing_id()))  # a checkpoint, so that numbers stay
+    made = c.map_rows(c.texts(rows, "_row", F.xxhash64(*docs.columns).alias("_hash")), lambda doc_id, raw, row, key: (_signed(fingerprint(raw)), doc_id, key, row), "fp long, doc_id long, hash long, row long")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash", "row")).alias("first")
+    fps = c.settle(made.groupBy("fp").agg(first))
+    linked = components(links(fps.select("fp", F.col("fp").alias("rep")), radius))
+    classes = fps.join(linked, fps["fp"] == linked["node"], "left").select(F.coalesce("component", "fp").alias("of"), "first")
+    kept = classes.groupBy("of").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(c.documents(spark, sf_dir))

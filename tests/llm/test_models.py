@@ -226,3 +226,13 @@ def test_pipeline_on_odd_rows(spark, odd, tmp_path):
     for table in (docs, docs.limit(0)):
         for _, stage in P.STAGES:
             assert stage(spark, table, str(tmp_path)).count() <= 10_000
+
+
+def test_one_row_of_each_group_stays(spark, docs, tmp_path):
+    import corpus_pipeline as P
+
+    text = lambda k: " ".join(f"word{k}x{i}" for i in range(80))
+    rows = [(7, text(1))] * 3 + [(9, text(1)), (None, text(1)), (7, text(2)), (None, text(3)), (None, text(4)), (None, text(4)), (5, text(5))]
+    kept = P.near_duplicates(spark, docs(rows), str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(7, text(1)), (7, text(2)), (None, text(3)), (None, text(4)), (5, text(5))], key=str)
+    assert P.near_duplicates(spark, docs([]).limit(0), str(tmp_path)).collect() == []
