@@ -542,3 +542,20 @@ def retrieval_metrics(spark, d):
         hits, gold = (got, want) if hits is None else (hits.unionByName(got), gold.unionByName(want))
     m = retrieval.recall_at(hits, gold, 5)
     return m.select(F.round("recall", 6).alias("recall"), F.round("mrr", 6).alias("mrr"))
+
+
+@query(f"""
+WITH h AS (SELECT q.vec_id AS query, e.label = q.label AS hit, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, e.vec_id) AS r
+  FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE e.vec_id <> q.vec_id)
+SELECT round(avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall, round(avg(1.0 / r), 6) AS mrr FROM (SELECT query, min(r) AS r FROM h WHERE hit GROUP BY query)
+""")
+def retrieval_metrics_all(spark, d):
+    """Every vector whose id is divisible by 50 is a query against every vector. Pairs are only counted, never moved or sorted."""
+    e = table(spark, d, "embeddings")
+    asked = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("label").alias("want"), F.col("embedding").alias("asked"))
+    score = F.coalesce(S.cosine(F.col("embedding"), F.col("asked")), F.lit(0.0))
+    pairs = e.crossJoin(asked).filter("vec_id <> query").select("query", "vec_id", (F.col("label") == F.col("want")).alias("hit"), score.alias("score"))
+    best = pairs.filter("hit").groupBy("query").agg(F.max(F.struct("score", (-F.col("vec_id")).alias("back"))).alias("best"))
+    ahead = (F.col("score") > F.col("best.score")) | ((F.col("score") == F.col("best.score")) & (F.col("vec_id") <= -F.col("best.back")))
+    ranks = pairs.join(best, "query").filter(ahead).groupBy("query").agg(F.count("*").alias("r"))
+    return ranks.agg(F.round(F.avg((F.col("r") <= 5).cast("double")), 6).alias("recall"), F.round(F.avg(1 / F.col("r")), 6).alias("mrr"))
