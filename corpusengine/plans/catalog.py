@@ -428,7 +428,7 @@ def retrieve_filtered(spark, d):
 @query()
 def lsa_rank(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("pmcid"), F.lit(0).alias("chunk_id"), "text")
-    model = vectors.fit(docs, "text", dims=16)
+    model = vectors.fit(docs, "text")
     index = vectors.embed(docs, "text", model)
     return retrieval.top_k(index, "vector", model.embed_query("the of and that with heat thing"), 10, ["pmcid", "chunk_id"]).select("pmcid", "chunk_id", F.round("score", 4).alias("score"))
 
@@ -559,3 +559,18 @@ def retrieval_metrics_all(spark, d):
     ahead = (F.col("score") > F.col("best.score")) | ((F.col("score") == F.col("best.score")) & (F.col("vec_id") <= -F.col("best.back")))
     ranks = pairs.join(best, "query").filter(ahead).groupBy("query").agg(F.count("*").alias("r"))
     return ranks.agg(F.round(F.avg((F.col("r") <= 5).cast("double")), 6).alias("recall"), F.round(F.avg(1 / F.col("r")), 6).alias("mrr"))
+
+
+# ---- the same over the operator's whole vocabulary (vectors.MAX_VOCABULARY); too slow for SQL, tests hold them against brute force
+
+
+@query()
+def idf_table_full(spark, d):
+    docs = table(spark, d, "documents")
+    return vectors.idf(vectors.vocabulary(docs, "text"), docs.count()).select("term", F.round("idf", 6).alias("idf"))
+
+
+@query()
+def term_weights_full(spark, d):
+    docs = table(spark, d, "documents")
+    return vectors.weighted(docs, ["doc_id"], "text", vectors.idf(vectors.vocabulary(docs, "text"), docs.count())).select("doc_id", "term", F.round("weight", 6).alias("weight"))

@@ -49,3 +49,27 @@ def test_stars_aggregate_before_they_join(spark):
 
 def test_outer_join_becomes_inner(spark):
     assert "LeftOuter" not in plan(spark, "left_is_not_null") and "Inner" in plan(spark, "left_is_not_null")
+
+
+def test_weights_are_of_the_whole_vocabulary(spark, tmp_path, monkeypatch):
+    import math
+
+    from corpusengine.operators import vectors
+    from corpusengine.plans import catalog
+
+    texts = [" ".join(f"term{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200) if k % (i + 1) == 0) for i in range(4)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = {}
+    for t in texts:
+        for w in set(vectors.words(t)):
+            df[w] = df.get(w, 0) + 1
+    idf = {w: math.log(5 / (1 + n)) + 1 for w, n in df.items() if n >= 2}
+    assert len(idf) > 100
+    assert {r["term"]: r["idf"] for r in catalog.QUERIES["idf_table_full"](spark, str(tmp_path)).collect()} == pytest.approx(idf, abs=1e-6)
+    got = {(r["doc_id"], r["term"]): r["weight"] for r in catalog.QUERIES["term_weights_full"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({(i, w): math.log(2) * idf[w] for i, t in enumerate(texts) for w in vectors.words(t) if w in idf}, abs=1e-6)
+    asked = []
+    monkeypatch.setattr(vectors, "fit", lambda docs, text, dims=128, **k: asked.append(dims) or vectors.Lsa({}, None, None))
+    with pytest.raises(Exception):
+        catalog.QUERIES["lsa_rank"](spark, str(tmp_path))
+    assert asked == [128]
