@@ -6,14 +6,17 @@ their own rows, the driver holds only terms x (dims + oversampling) numbers, bou
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import ClassVar, Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,30 @@ def words(text: str | None) -> list[str]:
     return [t for t in _TOKEN.findall((text or "").lower()) if t not in _STOP]
 
 
+class Embedder(Protocol):
+    """What an embedding backend is: its size, vectors of texts (unit rows, float32) and the vector of a query."""
+
+    name: str
+
+    @property
+    def dims(self) -> int: ...
+
+    def embed(self, texts: list[str | None]) -> np.ndarray: ...
+
+    def embed_query(self, text: str) -> list[float]: ...
+
+    def state(self) -> str: ...
+
+
+def _by_row(n: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of values by their row; ``at`` is in order."""
+    out = np.zeros((n, values.shape[1]))
+    if len(at):
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        out[at[first]] = np.add.reduceat(values, first, axis=0)
+    return out
+
+
 @dataclass
 class Lsa:
     """A fitted model: each term's column and idf, and the directions (terms x dims)."""
@@ -50,13 +77,14 @@ class Lsa:
     terms: dict[str, int]
     weights: np.ndarray
     directions: np.ndarray
+    name = "lsa"
 
     @property
     def dims(self) -> int:
         return self.directions.shape[1]
 
     def rows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sparse (row, column, weight) of texts."""
+        """Sparse (row, column, weight) of texts, rows in order."""
         i, j, w = [], [], []
         for k, t in enumerate(texts):
             for term, n in Counter(words(t)).items():
@@ -67,14 +95,9 @@ class Lsa:
                     w.append(np.log1p(n) * self.weights[c])
         return np.array(i, np.int64), np.array(j, np.int64), np.array(w, float)
 
-    def times(self, texts: list[str | None], m: np.ndarray) -> np.ndarray:
-        i, j, w = self.rows(texts)
-        out = np.zeros((len(texts), m.shape[1]))
-        np.add.at(out, i, m[j] * w[:, None])
-        return out
-
     def embed(self, texts: list[str | None]) -> np.ndarray:
-        x = self.times(texts, self.directions)
+        i, j, w = self.rows(texts)
+        x = _by_row(len(texts), i, self.directions[j] * w[:, None])
         return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
     def embed_query(self, text: str) -> list[float]:
@@ -89,7 +112,16 @@ class Lsa:
         return cls({t: k for k, t in enumerate(s["terms"])}, np.array(s["weights"]), np.array(s["directions"]).reshape(len(s["terms"]), -1))
 
 
+_FLOATS = pa.list_(pa.float64())
+
+
+def _lists(m: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """The rows of a matrix as an Arrow list column, of no rows too."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel(), kind.value_type))
+
+
 def fit(docs: DataFrame, text: str, dims: int = 128, min_df: int = 2, size: int = MAX_VOCABULARY, seed: int = 0) -> Lsa:
+    """Texts are tokenised once, into columns and weights that stay for the passes of the iteration."""
     n = docs.count()
     vocab = idf(vocabulary(docs, text, min_df, size), n).collect()  # at most ``size`` rows
     model = Lsa({r["term"]: k for k, r in enumerate(vocab)}, np.array([r["idf"] for r in vocab], float), np.zeros((len(vocab), 1)))
@@ -98,48 +130,64 @@ def fit(docs: DataFrame, text: str, dims: int = 128, min_df: int = 2, size: int
     k = max(1, min(dims, min(n, len(vocab)) - 1))
     wide = min(k + OVERSAMPLE, n, len(vocab))
     q = np.linalg.qr(np.random.RandomState(seed).randn(len(vocab), wide))[0]
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            i, j, w = shared.value.rows(b.column(0).to_pylist())
+            ends = pa.array(np.searchsorted(i, np.arange(b.num_rows + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(j, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w, pa.float64()))], ["j", "w"])
+
+    # As many partitions as there are tasks at a time, at most: each sends terms x dims numbers, however large the corpus.
+    rows = docs.select(F.col(text).alias("t")).mapInArrow(sparse, "j array<int>, w array<double>").filter(F.size("j") > 0).coalesce(spark.sparkContext.defaultParallelism)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(ITERATIONS):
-        q = np.linalg.qr(_gram_times(docs, text, model, q))[0]
-    b = _gram_times(docs, text, model, q)
-    values, turn = np.linalg.eigh(q.T @ b)
+        q = np.linalg.qr(_gram_times(rows, q))[0]
+    b = _gram_times(rows, q)
+    rows.unpersist()
+    _, turn = np.linalg.eigh(q.T @ b)
     model.directions = (q @ turn[:, ::-1])[:, :k]
     return model
 
 
-def _gram_times(docs: DataFrame, text: str, model: Lsa, q: np.ndarray) -> np.ndarray:
-    """(A'A) q for the weighted matrix A of docs: each partition adds up its own part, parts are added by row in Spark."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, q))
+def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
+    """(A'A) q for the weighted matrix A in sparse rows (j, w): each partition adds up its own part, parts are added by row in Spark."""
+    shared = rows.sparkSession.sparkContext.broadcast(q)
 
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, q = shared.value
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
         total = np.zeros_like(q)
-        for f in frames:
-            i, j, w = m.rows(f["t"].tolist())
-            aq = np.zeros((len(f), q.shape[1]))
-            np.add.at(aq, i, q[j] * w[:, None])
-            np.add.at(total, j, aq[i] * w[:, None])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                j, w = b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy()
+                i = np.repeat(np.arange(b.num_rows), np.diff(b.column(0).offsets.to_numpy()))
+                aq = _by_row(b.num_rows, i, q[j] * w[:, None])
+                order = np.argsort(j, kind="stable")
+                total += _by_row(len(q), j[order], aq[i[order]] * w[order, None])
         some = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame({"row": some, "v": list(total[some])})
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), _lists(total[some], _FLOATS)], ["row", "v"])
 
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(part, "row long, v array<double>")
     cols = [F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(q.shape[1])]
-    got = rows.groupBy("row").agg(F.array(*cols).alias("v")).toArrow()
+    got = rows.mapInArrow(part, "row long, v array<double>").groupBy("row").agg(F.array(*cols).alias("v")).toArrow()
     out = np.zeros_like(q)
     if got.num_rows:
         out[got["row"].to_numpy()] = np.array(got["v"].to_pylist())
+    shared.unpersist()
     return out
 
 
-def embed(chunks: DataFrame, text: str, model: Lsa) -> DataFrame:
+def embed(chunks: DataFrame, text: str, model: Embedder) -> DataFrame:
     """pmcid, chunk_id, text_hash, vector for each row of chunks."""
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<float>")
-    def vector(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def vector(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in batches:
-            yield pd.Series(list(shared.value.embed(s.tolist())))
+            yield _lists(np.asarray(shared.value.embed(s.to_pylist()), np.float32).reshape(len(s), -1), pa.list_(pa.float32()))
 
-    return chunks.select("pmcid", "chunk_id", F.md5(F.col(text)).alias("text_hash"), vector(text).alias("vector"))
+    return chunks.select("pmcid", "chunk_id", F.md5(F.col(text)).alias("text_hash"), vector(F.col(text)).alias("vector"))
 
 
 def corpus_hash(chunks: DataFrame, text: str) -> str:
@@ -159,26 +207,48 @@ def refreshed(chunks: DataFrame, text: str, prior: DataFrame | None, embed_new:
     return old.unionByName(embed_new(keyed.join(known.select(*keys), keys, "left_anti").drop("text_hash")))
 
 
-#: Embedding backends by name; a backend has dims, embed(list of texts) and embed_query(text).
-BACKENDS: dict[str, Callable] = {"lsa": fit}
+class Pretrained:
+    """A sentence encoder of an optional package. What travels is its name: each worker process loads the model once, when it first embeds."""
+
+    name = "st"
+    _loaded: ClassVar[dict[str, object]] = {}
+
+    def __init__(self, model: str = "all-MiniLM-L6-v2"):
+        self.model = model
+
+    def _encoder(self):
+        if self.model not in Pretrained._loaded:
+            from sentence_transformers import SentenceTransformer
+
+            Pretrained._loaded[self.model] = SentenceTransformer(self.model)
+        return Pretrained._loaded[self.model]
 
+    @property
+    def dims(self) -> int:
+        return self._encoder().get_sentence_embedding_dimension()
 
-def sentence_transformer(model: str = "all-MiniLM-L6-v2"):
-    """A pretrained backend where the optional package is installed; loaded once in each worker."""
-    from sentence_transformers import SentenceTransformer
+    def embed(self, texts: list[str | None]) -> np.ndarray:
+        return np.asarray(self._encoder().encode([t or "" for t in texts], batch_size=64, normalize_embeddings=True), np.float32)
 
-    loaded = SentenceTransformer(model)
+    def embed_query(self, text: str) -> list[float]:
+        return self.embed([text])[0].tolist()
 
-    class Backend:
-        dims = loaded.get_sentence_embedding_dimension()
+    def state(self) -> str:
+        return json.dumps({"model": self.model})
 
-        def embed(self, texts):
-            return loaded.encode(texts, batch_size=64, normalize_embeddings=True)
+    @classmethod
+    def of(cls, state: str) -> Pretrained:
+        return cls(json.loads(state)["model"])
 
-        def embed_query(self, text):
-            return self.embed([text])[0].tolist()
 
-    return Backend()
+#: Embedding backends by name.
+BACKENDS: dict[str, type] = {"lsa": Lsa, "st": Pretrained}
 
 
-BACKENDS["st"] = sentence_transformer
+def backend(name: str = "auto") -> str:
+    """The name of a backend; auto: the pretrained one where its package is installed, else lsa."""
+    if name == "auto":
+        return "st" if importlib.util.find_spec("sentence_transformers") else "lsa"
+    if name not in BACKENDS:
+        raise ValueError(f"unknown embedding backend: {name}")
+    return name

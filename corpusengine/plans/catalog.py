@@ -384,6 +384,7 @@ def validate_counts(spark, d):
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
 _DF = f"SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '{T.TOKEN}'))) AS term FROM documents) WHERE term NOT IN ({_STOP_SQL}) GROUP BY term HAVING count(*) >= 2"
+_VOCABULARY = f"SELECT term, df FROM ({_DF}) ORDER BY df DESC, term LIMIT {vectors.MAX_VOCABULARY}"  # the size is the operator's own
 
 
 @query(f"SELECT term, df FROM ({_DF}) ORDER BY df DESC, term LIMIT 100")
@@ -391,10 +392,10 @@ def doc_freq(spark, d):
     return vectors.vocabulary(table(spark, d, "documents"), "text", min_df=2, size=100)
 
 
-@query(f"SELECT term, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1, 6) AS idf FROM ({_DF}) ORDER BY df DESC, term LIMIT 100")
+@query(f"SELECT term, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1, 6) AS idf FROM ({_VOCABULARY})")
 def idf_table(spark, d):
     docs = table(spark, d, "documents")
-    return vectors.idf(vectors.vocabulary(docs, "text", min_df=2, size=100), docs.count()).select("term", F.round("idf", 6).alias("idf"))
+    return vectors.idf(vectors.vocabulary(docs, "text"), docs.count()).select("term", F.round("idf", 6).alias("idf"))
 
 
 _DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
@@ -481,13 +482,13 @@ def token_count(spark, d):
 
 
 @query(f"""
-WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (SELECT term, df FROM ({_DF}) ORDER BY df DESC, term LIMIT 50)),
+WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM ({_VOCABULARY})),
 t AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{T.TOKEN}')) AS term FROM documents) GROUP BY doc_id, term)
 SELECT doc_id, term, round(ln(1 + n) * idf, 6) AS weight FROM t JOIN v USING (term)
 """)
 def term_weights(spark, d):
     docs = table(spark, d, "documents")
-    return vectors.weighted(docs, ["doc_id"], "text", vectors.idf(vectors.vocabulary(docs, "text", min_df=2, size=50), docs.count())).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    return vectors.weighted(docs, ["doc_id"], "text", vectors.idf(vectors.vocabulary(docs, "text"), docs.count())).select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @query("SELECT doc_id, text FROM (SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda x: x <> ''), ' ') AS text FROM documents) WHERE text <> ''")
@@ -526,51 +527,14 @@ def index_refresh(spark, d):
     return index.join(docs.select("pmcid", "lang"), "pmcid").groupBy("lang").agg(F.count("*").alias("chunks"), F.count_if(F.col("vector")[0] == 1.0).alias("embedded"))
 
 
-@query(f"""
-WITH h AS (SELECT q.vec_id AS query, e.label = q.label AS hit, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, e.vec_id) AS r
-  FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id IN (1, 2, 3)) q WHERE e.vec_id <> q.vec_id)
-SELECT round(avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall, round(avg(1.0 / r), 6) AS mrr FROM (SELECT query, min(r) AS r FROM h WHERE hit GROUP BY query)
-""")
-def retrieval_metrics(spark, d):
-    """Three queries against every vector; an answer of the same label counts."""
-    e = table(spark, d, "embeddings")
-    hits, gold = None, None
-    for q in e.filter(F.col("vec_id").isin(1, 2, 3)).collect():
-        rest = e.filter(F.col("vec_id") != q["vec_id"]).select("label", "vec_id", "embedding")
-        got = retrieval.scored(rest, "embedding", q["embedding"]).select(F.lit(q["vec_id"]).alias("query"), F.col("vec_id").alias("id"), "score")
-        want = rest.filter(F.col("label") == q["label"]).select(F.lit(q["vec_id"]).alias("query"), F.col("vec_id").alias("id"))
-        hits, gold = (got, want) if hits is None else (hits.unionByName(got), gold.unionByName(want))
-    m = retrieval.recall_at(hits, gold, 5)
-    return m.select(F.round("recall", 6).alias("recall"), F.round("mrr", 6).alias("mrr"))
-
-
 @query(f"""
 WITH h AS (SELECT q.vec_id AS query, e.label = q.label AS hit, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, e.vec_id) AS r
   FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE e.vec_id <> q.vec_id)
 SELECT round(avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall, round(avg(1.0 / r), 6) AS mrr FROM (SELECT query, min(r) AS r FROM h WHERE hit GROUP BY query)
 """)
-def retrieval_metrics_all(spark, d):
-    """Every vector whose id is divisible by 50 is a query against every vector. Pairs are only counted, never moved or sorted."""
-    e = table(spark, d, "embeddings")
-    asked = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("label").alias("want"), F.col("embedding").alias("asked"))
-    score = F.coalesce(S.cosine(F.col("embedding"), F.col("asked")), F.lit(0.0))
-    pairs = e.crossJoin(asked).filter("vec_id <> query").select("query", "vec_id", (F.col("label") == F.col("want")).alias("hit"), score.alias("score"))
-    best = pairs.filter("hit").groupBy("query").agg(F.max(F.struct("score", (-F.col("vec_id")).alias("back"))).alias("best"))
-    ahead = (F.col("score") > F.col("best.score")) | ((F.col("score") == F.col("best.score")) & (F.col("vec_id") <= -F.col("best.back")))
-    ranks = pairs.join(best, "query").filter(ahead).groupBy("query").agg(F.count("*").alias("r"))
-    return ranks.agg(F.round(F.avg((F.col("r") <= 5).cast("double")), 6).alias("recall"), F.round(F.avg(1 / F.col("r")), 6).alias("mrr"))
-
-
-# ---- the same over the operator's whole vocabulary (vectors.MAX_VOCABULARY); too slow for SQL, tests hold them against brute force
-
-
-@query()
-def idf_table_full(spark, d):
-    docs = table(spark, d, "documents")
-    return vectors.idf(vectors.vocabulary(docs, "text"), docs.count()).select("term", F.round("idf", 6).alias("idf"))
-
-
-@query()
-def term_weights_full(spark, d):
-    docs = table(spark, d, "documents")
-    return vectors.weighted(docs, ["doc_id"], "text", vectors.idf(vectors.vocabulary(docs, "text"), docs.count())).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+def retrieval_metrics(spark, d):
+    """Every vector whose id is divisible by 50 is a query against every vector; an answer of the same label counts."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("vector"))
+    asked = e.filter("id % 50 = 0").select(F.col("id").alias("query"), F.col("label").alias("want"), F.col("vector").alias("asked"))
+    ranks = retrieval.first_ranks(e, asked)
+    return ranks.agg(F.round(F.avg((F.col("rank") <= 5).cast("double")), 6).alias("recall"), F.round(F.avg(1 / F.col("rank")), 6).alias("mrr"))

@@ -22,6 +22,7 @@ def index_info(s: Store) -> dict:
 
 def build_index(s: Store, backend: str = "lsa", dims: int = 128, min_df: int = 2, force: bool = False) -> dict:
     """Vectors of all chunks. Unchanged corpora are passed over unless forced; a pretrained backend embeds only what is new."""
+    backend = vectors.backend(backend)
     chunks = s.read("doc_chunks").select("pmcid", "chunk_id", "text")
     digest, info = vectors.corpus_hash(chunks, "text"), index_info(s)
     same = info.get("index_version") == VERSION and info.get("backend") == backend
@@ -29,11 +30,11 @@ def build_index(s: Store, backend: str = "lsa", dims: int = 128, min_df: int = 2
         return info | {"skipped": True, "embedded": 0}
     if backend == "lsa":
         model = vectors.fit(chunks, "text", dims, min_df)
-        s.put_text(MODEL, model.state())
         prior = None
     else:
         model = vectors.BACKENDS[backend]()
         prior = s.read("chunk_vectors") if same and not force and s.has("chunk_vectors") else None
+    s.put_text(MODEL, model.state())
     n_new = chunks.count()
     if prior is not None:
         n_new = chunks.withColumn("text_hash", F.md5("text")).join(prior, ["pmcid", "chunk_id", "text_hash"], "left_anti").count()
@@ -48,7 +49,7 @@ def rank(s: Store, query: str, k: int = 8) -> DataFrame | None:
     info = index_info(s)
     if not info:
         return None
-    model = vectors.Lsa.of(s.get_text(MODEL)) if info["backend"] == "lsa" else vectors.BACKENDS[info["backend"]]()
+    model = vectors.BACKENDS[info["backend"]].of(s.get_text(MODEL))
     return retrieval.top_k(s.read("chunk_vectors"), "vector", model.embed_query(query), k, ["pmcid", "chunk_id"]).select("pmcid", "chunk_id", "score")
 
 

@@ -245,6 +245,52 @@ def test_decomposition_spans_the_right_space(spark):
     assert np.allclose(np.linalg.norm(v, axis=1), 1, atol=1e-5) and m.embed(["nothing known"]).any() == False  # noqa: E712
 
 
+def test_partitions_without_known_words(spark):
+    """As a table of one row group read in many splits: most partitions are empty, some hold no word of the vocabulary."""
+    from corpusengine.operators import vectors
+
+    ddl = "pmcid string, chunk_id int, text string"
+    df = spark.createDataFrame([("a", 0, "opioid receptor pain"), ("b", 0, "receptor opioid"), ("c", 0, "4 5 6"), ("d", 0, None)], ddl).repartition(50)
+    m = vectors.fit(df, "text")
+    assert sorted(m.terms) == ["opioid", "receptor"]
+    assert {r["pmcid"]: any(r["vector"]) for r in vectors.embed(df, "text", m).collect()} == {"a": True, "b": True, "c": False, "d": False}
+    empty = vectors.fit(df.limit(0), "text")
+    assert empty.terms == {} and vectors.embed(df.limit(0), "text", empty).collect() == []
+    again = vectors.Lsa.of(m.state())
+    assert again.embed(["opioid pain"]).tolist() == m.embed(["opioid pain"]).tolist()
+
+
+def test_backends(spark, monkeypatch):
+    import importlib.util
+    import pickle
+    import sys
+    import types
+
+    from corpusengine.operators import vectors
+
+    assert vectors.backend("auto") == ("st" if importlib.util.find_spec("sentence_transformers") else "lsa") and vectors.backend("lsa") == "lsa"
+    with pytest.raises(ValueError):
+        vectors.backend("none such")
+    loads = []
+
+    class Encoder:
+        def __init__(self, name):
+            loads.append(name)
+
+        def get_sentence_embedding_dimension(self):
+            return 2
+
+        def encode(self, texts, batch_size, normalize_embeddings):
+            return [[1.0, 0.0] if "a" in t else [0.0, 1.0] for t in texts]
+
+    monkeypatch.setitem(sys.modules, "sentence_transformers", types.SimpleNamespace(SentenceTransformer=Encoder))
+    monkeypatch.setattr(vectors.Pretrained, "_loaded", {})
+    m = pickle.loads(pickle.dumps(vectors.Pretrained("tiny")))
+    assert loads == []  # nothing is loaded before the first text
+    assert m.embed_query("a") == [1.0, 0.0] and m.embed(["b", None]).tolist() == [[0.0, 1.0]] * 2 and m.dims == 2 and loads == ["tiny"]
+    assert vectors.Pretrained.of(m.state()).dims == 2 and loads == ["tiny"]
+
+
 def test_refreshed_embeds_only_what_is_new(spark):
     from corpusengine.operators import vectors
 

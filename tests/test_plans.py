@@ -65,8 +65,8 @@ def test_weights_are_of_the_whole_vocabulary(spark, tmp_path, monkeypatch):
             df[w] = df.get(w, 0) + 1
     idf = {w: math.log(5 / (1 + n)) + 1 for w, n in df.items() if n >= 2}
     assert len(idf) > 100
-    assert {r["term"]: r["idf"] for r in catalog.QUERIES["idf_table_full"](spark, str(tmp_path)).collect()} == pytest.approx(idf, abs=1e-6)
-    got = {(r["doc_id"], r["term"]): r["weight"] for r in catalog.QUERIES["term_weights_full"](spark, str(tmp_path)).collect()}
+    assert {r["term"]: r["idf"] for r in catalog.QUERIES["idf_table"](spark, str(tmp_path)).collect()} == pytest.approx(idf, abs=1e-6)
+    got = {(r["doc_id"], r["term"]): r["weight"] for r in catalog.QUERIES["term_weights"](spark, str(tmp_path)).collect()}
     assert got == pytest.approx({(i, w): math.log(2) * idf[w] for i, t in enumerate(texts) for w in vectors.words(t) if w in idf}, abs=1e-6)
     asked = []
     monkeypatch.setattr(vectors, "fit", lambda docs, text, dims=128, **k: asked.append(dims) or vectors.Lsa({}, None, None))
