@@ -9,9 +9,10 @@ import numpy as np
 
 SYMBOLS = b"#*$%&|<>"
 _BEYOND_ASCII = bytes(range(128, 256))
+_NO_LETTER = bytes(b for b in range(128) if not bytes([b]).isalpha())
 NAMES = [
     "n_chars", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct",
-    "n_upper", "n_letters", "n_digits", "n_marks", "n_stops", "n_pipes", "longest_word", "top_word", "n_same_next", "n_capital",
+    "n_upper", "n_letters", "n_digits", "n_marks", "n_stops", "n_pipes", "longest_word", "top_word", "n_same_next", "n_capital", "n_symbol_words", "n_letterless",
 ]
 
 
@@ -45,8 +46,11 @@ def stats(raw: bytes | None) -> tuple[int, ...]:
     wide = len(text) - len(raw.translate(None, _BEYOND_ASCII))  # characters beyond ASCII
     digits = len(raw) - len(raw.translate(None, b"0123456789"))
     often = Counter(words)
+    n_symbols = len(raw) - len(raw.translate(None, SYMBOLS))
+    with_symbol = sum(n for w, n in often.items() if len(w.translate(None, SYMBOLS)) < len(w)) if n_symbols else 0
     return (
-        len(text), len(words), len(text) - blank, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines), len(lines) - len(set(lines)),
+        len(text), len(words), len(text) - blank, n_symbols, len(lines), len(lines) - len(set(lines)),
         repeated_words(words), len(often), upper, upper + lower + wide, digits, raw.count(b"!") + raw.count(b"?"), raw.count(b".") + raw.count(b","),
         raw.count(b"|"), max(map(len, words), default=0), max(often.values(), default=0), sum(map(bytes.__eq__, words, islice(words, 1, None))), sum(w[:1].isupper() for w in words),
+        with_symbol, sum(n for w, n in often.items() if not w.strip(_NO_LETTER)),
     )

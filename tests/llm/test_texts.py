@@ -1,6 +1,8 @@
 """Byte-level BPE, packing, rules, secrets, rollups: against brute force and exact round trips."""
 
 import hashlib
+import math
+import os
 import random
 import re
 import zlib
@@ -164,14 +166,109 @@ def test_op5(docs, odd):
     assert rules.judge(odd.limit(0)).collect() == [] and rules.fit([])[0] == {}
 
 
+def planted(accuracy, prior, n, seed=0, abstain=0.2):
+    """(votes, whether good) of n documents, rules independent given the class."""
+    rng, out = np.random.RandomState(seed), []
+    for _ in range(n):
+        good = rng.rand() < prior
+        out.append(("".join("0" if rng.rand() < abstain else "+" if (rng.rand() < a) == good else "-" for a in accuracy[int(good)]), good))
+    return out
+
+
+def slow_em(votes):
+    """EM document by document, in plain loops: the posterior of each, accuracies and prior."""
+    start, prior = (rules.PRIOR[2], rules.PRIOR[1]), rules.PRIOR[0]
+    k, last = len(votes[0]), None
+    accuracy = [[start[c]] * k for c in (0, 1)]
+    for _ in range(1000):
+        good = []
+        for v in votes:
+            like = [math.log(1 - prior), math.log(prior)]
+            for r, x in enumerate(v):
+                if x != "0":
+                    for c in (0, 1):
+                        like[c] += math.log(accuracy[c][r] if (x == "+") == (c == 1) else 1 - accuracy[c][r])
+            good.append(1 / (1 + math.exp(max(-700, min(700, like[0] - like[1])))))
+        if last and max(abs(a - b) for a, b in zip(good, last, strict=True)) < 1e-9:
+            break
+        last = good
+        for c in (0, 1):
+            weight = [g if c else 1 - g for g in good]
+            right = [sum(w for w, v in zip(weight, votes, strict=True) if v[r] == "-+"[c]) for r in range(k)]
+            voted = [sum(w for w, v in zip(weight, votes, strict=True) if v[r] != "0") for r in range(k)]
+            common = (sum(right) + rules.COUNTS * start[c]) / (sum(voted) + rules.COUNTS)
+            for r in range(k):
+                accuracy[c][r] = (right[r] + rules.POOL * sum(weight) * common + rules.COUNTS * start[c]) / (voted[r] + rules.POOL * sum(weight) + rules.COUNTS)
+        prior = (sum(good) + rules.COUNTS * rules.PRIOR[0]) / (len(votes) + rules.COUNTS)
+    return good, accuracy, prior
+
+
+def test_em_against_plain_loops():
+    votes = [v for v, _ in planted([[0.6, 0.5, 0.7, 0.3], [0.9, 0.97, 0.85, 0.6]], 0.8, 400)]
+    posterior, accuracy, prior = rules.fit(sorted(Counter(votes).items()))
+    good, slow, p = slow_em(votes)
+    assert max(abs(posterior[v] - g) for v, g in zip(votes, good, strict=True)) < 1e-6
+    assert np.allclose(accuracy, slow, atol=1e-6) and abs(prior - p) < 1e-6
+
+
 def test_em_finds_the_accuracies():
-    rng = np.random.RandomState(0)
-    patterns = Counter()
-    for _ in range(20_000):
-        good = rng.rand() < 0.9
-        patterns["".join("0" if rng.rand() < 0.2 else "+" if (rng.rand() < 0.9995 if good else rng.rand() > 0.5) else "-" for _ in range(6))] += 1
-    _, accuracy, prior = rules.fit(sorted(patterns.items()))
-    assert abs(prior - 0.9) < 0.03 and np.abs(accuracy[0] - 0.5).max() < 0.1 and (accuracy[1] >= 0.998).all()
+    """Rules that are often wrong on good documents are found out, far from where they start."""
+    true = [[0.7, 0.6, 0.8, 0.5, 0.65, 0.7], [0.99, 0.6, 0.95, 0.75, 0.98, 0.9]]
+    rows = planted(true, 0.75, 20_000)
+    posterior, accuracy, prior = rules.fit(sorted(Counter(v for v, _ in rows).items()))
+    assert abs(prior - 0.75) < 0.06 and np.abs(accuracy - true).max() < 0.11 and accuracy[1, 1] < 0.75 and accuracy[1, 3] < 0.85
+    right = sum((posterior[v] >= 0.5) == g for v, g in rows) / len(rows)
+    assert right > 0.9 > sum(("-" not in v) == g for v, g in rows) / len(rows)  # all-must-pass does worse
+
+
+def test_a_single_bad_vote_is_outvoted(spark):
+    """A third of all documents draws one bad vote of one rule that is wrong on them; a tenth draws three or more of several rules."""
+    rng, n = np.random.RandomState(2), len(rules.rules())
+    votes = Counter({"+" * n: 57_000, "+-" + "+" * (n - 2): 33_000})
+    for _ in range(10_000):
+        bad = set(rng.choice(n, 4, replace=False))
+        votes["".join("-" if k in bad else "+" for k in range(n))] += 1
+    posterior, accuracy, prior = rules.fit(sorted(votes.items()))
+    assert posterior["+-" + "+" * (n - 2)] > 0.9 and abs(accuracy[1, 1] - 57 / 90) < 0.1 and abs(prior - 0.9) < 0.02
+    assert max(p for v, p in posterior.items() if v.count("-") == 4 and v[1] == "+") < 0.05
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables here")
+def test_op5_agrees_with_labels(spark):
+    d = "/root/testdata/sf0.01"
+    got = rules.judge(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet").selectExpr("doc_id", "quality as label"), "doc_id").collect()
+    assert all(not r["kept"] for r in got if r["label"] == 0) and sum(not r["kept"] and not r["base_failed"] for r in got if r["label"] == 1) <= 2
+
+
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def slow_base_columns(text):
+    """The base columns character by character."""
+    words, word = [], ""
+    for ch in [*(text or ""), " "]:
+        if ch in BLANK:
+            words += [word] if word else []
+            word = ""
+        else:
+            word += ch
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if any(ch not in BLANK for ch in line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    inside = {k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(i, i + 3)}
+    return len(words), sum(map(len, words)), sum(ch in "#*$%&|<>" for ch in text or ""), dup, len(inside)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bé", "你好", "🎉", "#", "|x|", " ", "\n", "\t", "\x0b", "\u00a0", "\u2028", "\x85", "\x1c", "$&", "a b c", "a\n", " \n", "\x00"]), max_size=40).map("".join))
+def test_base_columns(text):
+    s = dict(zip(NAMES, stats(text.encode()), strict=True))
+    assert (s["n_words"], s["word_chars"], s["n_symbols"], s["n_dup_lines"], s["n_repeat_words"]) == slow_base_columns(text)
+    words = text.encode().split()
+    assert s["n_symbol_words"] == sum(any(ch in "#*$%&|<>" for ch in w.decode()) for w in words) and s["n_letterless"] == sum(not any(ch.isalpha() or ord(ch) > 127 for ch in w.decode()) for w in words)
 
 
 # ---- secrets
