@@ -104,7 +104,8 @@ class Trees:
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Trees:
     """On at most ``rows`` labelled documents; no labels: every score is 0.5."""
     picked = sample(docs, labels, "quality", rows)
-    made = c.map_rows(picked.select("y", "text"), lambda y, raw: (y, list(stats(raw))), "y int, x array<long>").toArrow().to_pylist()
+    made = c.map_rows(picked.select("doc_id", "y", "text"), lambda doc_id, y, raw: (doc_id, y, list(stats(raw))), "doc_id long, y int, x array<long>")
+    made = made.groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("m")).select("m.*").toArrow().to_pylist()  # of repeated rows one
     made.sort(key=lambda r: (r["y"], r["x"]))
     if not made:
         return Trees()
@@ -112,7 +113,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Trees:
 
 
 def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted: a row for each row of docs. Null texts are scored as empty ones; a null doc_id isn't held out."""
+    """doc_id, held_out, score, predicted: a row for each row of docs.
+
+    Null texts are scored as empty ones; very long texts are measured whole; equal texts have equal scores; a null doc_id isn't held out; a
+    score of exactly 0.5 predicts 1. No documents: no rows. Columns beside doc_id and text aren't read.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))  # trees x 2^depth numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,4 +131,5 @@ def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFram
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """classify() over all documents: a row for each, null and empty texts, repeated rows and very long texts included; an empty table gives no rows."""
     return classify(c.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -2,12 +2,13 @@
 
 A word's vector is the sum of the embeddings of its hash and of the hashes of its beginnings, so that inflected
 and compounded words meet. Filters of several widths slide over the words of the whole text; each keeps its
-maximum, and a logistic layer reads the maxima. A filter is linear in the words it covers, so the answers of each
-distinct word to every filter column are computed once and a position is a sum of looked-up rows.
+maximum, and a logistic layer reads the maxima. Embeddings, filters and the layer start at random and are learnt
+together by gradient descent. A filter is linear in the words it covers, so the answers of each distinct word to
+every filter column are computed once and a position is a sum of looked-up rows.
 
-Thresholds are calibrated by language on a fold of the training rows. The language is guessed from the text
-itself (the hashed words that the languages' own clean documents use), so scores use no column beside the text;
-each guess's logits are moved so that its threshold is 0.7.
+Thresholds are calibrated by language on a fold of the training rows. A language is what the training documents
+show: a cluster of their frequent words (spherical k-means), so that no list of languages is needed and scores use
+no column beside the text; each cluster's logits are moved so that its threshold is 0.7.
 """
 
 from __future__ import annotations
@@ -24,22 +25,16 @@ from pyspark.sql import functions as F
 from corpusengine.llm import _common as c
 from corpusengine.llm.learning import held_out, sample
 
-#: Documented bounds of the sample: labelled rows, and words of a document above which it isn't learnt from.
-SAMPLE, SAMPLE_WORDS = 12_000, 4_000
+SAMPLE = 12_000  # labelled rows, a documented bound (learning.SIZE bounds their texts together)
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 16, 12, (1, 2, 3), 8
-STEPS, EPOCHS, RATE, BATCH, SEED, THRESHOLD = 500, 60, 0.01, 64, 7, 0.7
+STEPS, EPOCHS, RATE, BATCH, SEED, THRESHOLD = 1000, 25, 0.02, 64, 7, 0.7
+TOXIC_WEIGHT = 2.0
 PREFIXES, LEAST_DOCS = (4, 5, 6), 3
+CLUSTERS, FREQUENT = 6, 256
 _WORD = re.compile(r"\w+")
 _KEPT = 100_000  # words whose answers a worker remembers
-#: Frequent function words by which a text's language is guessed.
-FUNCTION_WORDS = {
-    "en": "the of and to in is that it for was with as be this by on are from",
-    "de": "der die und das ist ein eine den mit von zu sich auf des dem nicht im",
-    "fr": "le la les et des est un une que dans pour qui sur pas du au par plus",
-    "es": "el la los que y en un una es por con para las del se no lo su",
-}
-LANGS = sorted(FUNCTION_WORDS)
-_LANG_OF = {w: [k for k, lang in enumerate(LANGS) if w in FUNCTION_WORDS[lang].split()] for lang in LANGS for w in FUNCTION_WORDS[lang].split()}
+_PAD = max(WIDTHS) - 1
+_BYTES = 1 << 20  # texts scored at a time, beyond the first
 
 
 def hashed(word: str) -> tuple[int, ...]:
@@ -52,117 +47,158 @@ def words_of(raw: bytes | None) -> list[str]:
     return _WORD.findall((raw or b"").decode("utf-8", "replace").lower())
 
 
-def guess(words: list[str]) -> int:
-    """Index into LANGS, by function words; English where none is found."""
-    votes = [0] * len(LANGS)
-    for w in words:
-        for k in _LANG_OF.get(w, ()):
-            votes[k] += 1
-    return max(range(len(LANGS)), key=lambda k: (votes[k], LANGS[k] == "en"))
+class Languages:
+    """Clusters of texts by the hashed words that most training documents use."""
+
+    def __init__(self, texts: list[tuple[np.ndarray, np.ndarray]] = ()):
+        held = np.zeros(BUCKETS, np.int64)
+        for ids, _ in texts:
+            held[np.unique(ids[:, 0])] += 1
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        often = often[held[often] > 0]
+        self.place = np.full(BUCKETS, -1)  # of a bucket among the frequent ones
+        self.place[often] = np.arange(len(often))
+        x = np.stack([self.profile(ids[index, 0]) for ids, index in texts]) if texts else np.zeros((0, FREQUENT))
+        x = x[x.any(axis=1)]
+        self.centres = np.zeros((1, FREQUENT))
+        if len(x):
+            centres = [x.mean(axis=0)]  # the first one is in the middle, each further one farthest from those before
+            while len(centres) < min(CLUSTERS, len(x)):
+                centres.append(x[(x @ np.stack(centres).T).max(axis=1).argmin()])
+            m = np.stack(centres)
+            for _ in range(20):
+                near = (x @ m.T).argmax(axis=1)
+                m = np.stack([x[near == k].sum(axis=0) if (near == k).any() else m[k] for k in range(len(m))])
+                m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+            self.centres = m
+
+    def profile(self, buckets: np.ndarray) -> np.ndarray:
+        """Of the words' buckets: square roots of the frequent ones' counts, of length 1."""
+        k = self.place[buckets]
+        v = np.sqrt(np.bincount(k[k >= 0], minlength=FREQUENT))
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    def __call__(self, buckets: np.ndarray) -> int:
+        """The nearest cluster; the first one for a text without frequent words."""
+        return int((self.centres @ self.profile(buckets)).argmax())
 
 
 class Network:
-    def __init__(self) -> None:
-        rng = np.random.RandomState(SEED)
+    """Texts are pairs: the buckets of their distinct words (a row each), and for each word of the text the row of it."""
+
+    def __init__(self, kind: type = np.float32) -> None:
+        rng, n = np.random.RandomState(SEED), len(WIDTHS) * FILTERS
         self.offset = np.concatenate(([0], np.cumsum(WIDTHS)))
-        self.e = (rng.randn(BUCKETS, DIM) * 0.01).astype(np.float32)
-        self.w = (rng.randn(sum(WIDTHS), DIM, FILTERS) * 0.3).astype(np.float32)  # one block for each place under each filter
-        self.b = np.zeros(len(WIDTHS) * FILTERS, np.float32)
-        self.out = (rng.randn(len(WIDTHS) * FILTERS) * 0.3).astype(np.float32)
-        self.bias = np.float32(0)
-        self.moved = np.zeros(len(LANGS))  # threshold of each guessed language, as a logit
+        self.e = (rng.randn(BUCKETS, DIM) * 0.1).astype(kind)
+        self.w = (rng.randn(sum(WIDTHS), DIM, FILTERS) / np.sqrt(DIM)).astype(kind)  # one block for each place under each filter
+        self.b = np.zeros(n, kind)
+        self.out = (np.abs(rng.randn(n)) * 0.3).astype(kind)
+        self.bias = np.zeros(1, kind)
+        self.languages = Languages()
+        self.moved = np.zeros(1)  # threshold of each language, as a logit
         self.spread = 1.0
 
     def answers(self, ids: np.ndarray) -> np.ndarray:
         """(words, buckets) -> (words, places, filters): what each word gives to each filter column."""
-        x = self.e[ids].sum(axis=1)
-        return np.einsum("nd,pdf->npf", x, self.w, optimize=True)
+        return (self.e[ids].sum(axis=1) @ self.w.transpose(1, 0, 2).reshape(DIM, -1)).reshape(len(ids), sum(WIDTHS), FILTERS)
 
-    def maxima(self, answers: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Max over the positions of one text (index: its words' rows) of every filter, and where; a filter that doesn't fit gives 0 at -1."""
-        top, at = np.zeros(len(self.b), np.float32), np.full(len(self.b), -1)
-        for k, width in enumerate(WIDTHS):
-            n = len(index) - width + 1
-            if n > 0:
-                z = answers[index[:n], self.offset[k]]
-                for j in range(1, width):
-                    z = z + answers[index[j : j + n], self.offset[k] + j]
-                s = slice(k * FILTERS, (k + 1) * FILTERS)
-                at[s] = z.argmax(axis=0)
-                top[s] = z[at[s], np.arange(FILTERS)]
-        return top, at
-
-    def logit(self, top: np.ndarray) -> float:
-        return float(np.maximum(top + self.b, 0) @ self.out + self.bias)
-
-    def prime(self, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
-        """Which buckets are learnt: those of several training documents; the others stay zero, for what one document says alone doesn't carry over.
-
-        The first dimension starts as what is certain (one-sided 95 %) of a bucket's log odds in toxic documents, and the first filter reads it.
+    def maxima(self, answers: np.ndarray, seq: np.ndarray, starts: np.ndarray, places: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+        """Of every text and filter the maximum over its positions, and (if asked for) the first place of it in seq.
+
+        seq: rows of answers of the texts one after another, each followed by _PAD rows of the null word (an empty text is a null word), so that
+        every filter fits at every word; starts: where texts start.
         """
-        held = np.zeros((2, BUCKETS))
-        for (ids, _), t in zip(texts, y, strict=True):
-            held[int(t), np.unique(ids)] += 1
-        n = np.array([(y == 0).sum(), (y == 1).sum()])[:, None] + 1
-        odds = np.log((held[1] + 0.5) / n[1]) - np.log((held[0] + 0.5) / n[0])
-        sure = np.maximum(0, odds - 1.64 * np.sqrt(1 / (held[1] + 0.5) + 1 / (held[0] + 0.5)))
-        known = held.sum(axis=0) >= LEAST_DOCS
-        self.e[:, 0] += 0.5 * sure
-        self.e[~known] = 0
-        self.w[0, :, 0] = np.eye(DIM)[0]
-        self.out[0], self.b[0], self.bias = 2.0, -0.5, np.float32(-1.0)
-        return known
+        n, sizes = len(seq), np.diff(np.append(starts, len(seq)))
+        inside = np.ones(n, bool)
+        for k in range(1, _PAD + 1):
+            inside[starts + sizes - k] = False
+        tops, at = [], []
+        for k, width in enumerate(WIDTHS):
+            z = answers[seq, self.offset[k]]
+            for j in range(1, width):
+                z[: n - j] += answers[seq[j:], self.offset[k] + j]
+            z[~inside] = -np.inf  # a window that would begin in the padding
+            top = np.maximum.reduceat(z, starts, axis=0)
+            tops.append(top)
+            if places:
+                at.append(np.minimum.reduceat(np.where(z == np.repeat(top, sizes, axis=0), np.arange(n)[:, None], n), starts, axis=0))
+        return np.concatenate(tops, axis=1), np.concatenate(at, axis=1) if places else None
+
+    def _batch(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, seq, starts, maxima, their places) of some texts; row 0 of ids is the null word, whose answers are zero."""
+        ids = np.concatenate([np.zeros((1, 1 + len(PREFIXES)), np.int64), *[t[0] for t in texts]])
+        first = 1 + np.cumsum([0, *[len(t[0]) for t in texts[:-1]]])
+        parts = [np.concatenate([t[1] + f if len(t[1]) else [0], np.zeros(_PAD, np.int64)]).astype(np.int64) for t, f in zip(texts, first, strict=True)]
+        seq, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
+        starts = ends - [len(x) for x in parts]
+        answers = self.answers(ids)
+        answers[0] = 0
+        return ids, seq, starts, *self.maxima(answers, seq, starts)
+
+    def logits(self, top: np.ndarray) -> np.ndarray:
+        return np.maximum(top + self.b, 0) @ self.out + self.bias[0]
+
+    def logits_of(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        return np.concatenate([self.logits(self._batch(texts[k : k + BATCH])[3]) for k in range(0, len(texts), BATCH)] or [np.zeros(0)])
+
+    def gradients(self, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """Of the mean weighted logistic loss: by parameter, and for the embeddings (buckets, their gradients)."""
+        ids, seq, _, top, at = self._batch(texts)
+        x = self.e[ids].sum(axis=1)
+        x[0] = 0
+        act = np.maximum(top + self.b, 0)
+        p = 1 / (1 + np.exp(-np.clip(act @ self.out + self.bias[0], -500, 500)))
+        d = ((p - y) * weight / len(y)).astype(self.e.dtype)
+        back = np.where(act > 0, d[:, None] * self.out, 0).astype(self.e.dtype)
+        grads = {"out": act.T @ d, "b": back.sum(axis=0), "bias": d.sum(keepdims=True), "w": np.zeros_like(self.w)}
+        rows, pulls = [], []
+        for k, width in enumerate(WIDTHS):
+            mine = slice(k * FILTERS, (k + 1) * FILTERS)
+            for j in range(width):
+                row, place = seq[at[:, mine] + j], self.offset[k] + j
+                grads["w"][place] = np.einsum("nfd,nf->df", x[row], back[:, mine])
+                some = np.nonzero((back[:, mine] != 0) & (row > 0))
+                rows.append(ids[row[some]])
+                pulls.append(back[:, mine][some][:, None] * self.w[place].T[some[1]])
+        rows, pulls = np.concatenate(rows), np.concatenate(pulls)
+        bucket, inverse = np.unique(rows.ravel(), return_inverse=True)
+        total = np.zeros((len(bucket), DIM), self.e.dtype)
+        np.add.at(total, inverse, np.repeat(pulls, rows.shape[1], axis=0))
+        return grads, bucket, total
 
     def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> None:
-        """texts: (distinct words' buckets, index of each word). Adam on the logistic loss, rare label weighted up."""
-        known = self.prime(texts, y)
-        rng, n, step = np.random.RandomState(SEED), len(y), 0
-        weight = np.where(y == 1, min(4.0, max(1.0, (y == 0).sum() / max(1, (y == 1).sum()) / 2)), 1.0)
-        params = {"w": self.w, "b": self.b, "out": self.out}
+        """Adam for filters and layer, rows of embeddings by their own squared gradients; rates fall to nearly zero.
+
+        Buckets of fewer than LEAST_DOCS training documents stay zero, for what one document says alone doesn't carry over.
+        """
+        held = np.zeros(BUCKETS, np.int64)
+        for ids, _ in texts:
+            held[np.unique(ids)] += 1
+        known = held >= LEAST_DOCS
+        self.e[~known] = 0
+        self.bias[0] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)) if len(y) else 0
+        rng, n = np.random.RandomState(SEED), len(y)
+        params = {"w": self.w, "b": self.b, "out": self.out, "bias": self.bias}
         m, v = ({k: np.zeros_like(p) for k, p in params.items()} for _ in range(2))
-        ge = np.zeros(BUCKETS, np.float32)  # squared gradients of the embeddings' rows
-        steps = min(STEPS, EPOCHS * -(-n // BATCH))
+        seen = np.zeros(BUCKETS, self.e.dtype)  # squared gradients of the embeddings' rows
+        step, steps = 0, min(STEPS, EPOCHS * -(-n // BATCH))
         while step < steps:
             order = rng.permutation(n)
             for s in range(0, n, BATCH)[: steps - step]:
-                rate = RATE * (1 - step / steps) + 1e-4
-                grads = {k: np.zeros_like(p) for k, p in params.items()}
-                gb, touched, pulls = 0.0, [], []
-                for i in order[s : s + BATCH]:
-                    ids, index = texts[i]
-                    top, at = self.maxima(self.answers(ids), index) if len(index) else (np.zeros(len(self.b), np.float32), np.full(len(self.b), -1))
-                    act = np.maximum(top + self.b, 0)
-                    f = act @ self.out + self.bias
-                    d = (1 / (1 + np.exp(-np.clip(f, -30, 30))) - y[i]) * weight[i] / BATCH
-                    grads["out"] += d * act
-                    gb += d
-                    back = np.where((top + self.b > 0) & (at >= 0), d * self.out, 0)
-                    grads["b"] += back
-                    for q in np.flatnonzero(back):
-                        k, f_ = divmod(int(q), FILTERS)
-                        for j in range(WIDTHS[k]):
-                            rows = ids[index[at[q] + j]]
-                            grads["w"][self.offset[k] + j, :, f_] += back[q] * self.e[rows].sum(axis=0)
-                            touched.append(rows)
-                            pulls.append(back[q] * self.w[self.offset[k] + j, :, f_])
+                left = 1 - step / steps
+                some = order[s : s + BATCH]
+                grads, bucket, total = self.gradients([texts[i] for i in some], y[some], np.where(y[some] == 1, TOXIC_WEIGHT, 1.0))
                 step += 1
                 for k, p in params.items():
                     m[k] = 0.9 * m[k] + 0.1 * grads[k]
                     v[k] = 0.999 * v[k] + 0.001 * grads[k] ** 2
-                    p -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
-                self.bias -= np.float32(rate * np.sign(gb) * min(1.0, abs(gb) * 10))
-                if touched:
-                    rows = np.concatenate(touched)
-                    pull = np.repeat(np.stack(pulls), len(touched[0]), axis=0)
-                    uniq, inverse = np.unique(rows, return_inverse=True)
-                    g = np.zeros((len(uniq), DIM), np.float32)
-                    np.add.at(g, inverse, pull)
-                    g[~known[uniq]] = 0
-                    ge[uniq] += (g**2).mean(axis=1)
-                    self.e[uniq] -= 5 * rate * g / (np.sqrt(ge[uniq])[:, None] + 1e-6)
+                    p -= (RATE * left + 1e-4) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+                total[~known[bucket]] = 0
+                seen[bucket] += (total**2).mean(axis=1)
+                self.e[bucket] -= (5 * RATE * left + 1e-4) * total / (np.sqrt(seen[bucket])[:, None] + 1e-6)
 
     def calibrate(self, logits: np.ndarray, y: np.ndarray, lang: np.ndarray) -> None:
-        """For each guessed language the threshold of the best F1, nearer to the toxic row above it than to the row below; one with few rows of either label takes that of all."""
+        """For each language the threshold of the best F1, nearer to the toxic row above it than to the row below; one with few rows of either label takes that of all."""
 
         def best(f: np.ndarray, t: np.ndarray) -> float | None:
             if (t == 1).sum() < 5 or (t == 0).sum() < 5:
@@ -176,7 +212,7 @@ class Network:
 
         every = best(logits, y)
         every = 0.0 if every is None else every
-        self.moved = np.array([every if (own := best(logits[lang == k], y[lang == k])) is None else own for k in range(len(LANGS))])
+        self.moved = np.array([every if (own := best(logits[lang == k], y[lang == k])) is None else own for k in range(len(self.languages.centres))])
         self.spread = max(0.5, float(np.std(logits)) / 4)
 
     def score(self, logit: float, lang: int) -> float:
@@ -186,54 +222,68 @@ class Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Network:
-    """On at most ``rows`` labelled documents of at most SAMPLE_WORDS words; no labels: every score is 0.7 of an untrained net moved below, 0."""
+    """On at most ``rows`` labelled documents, four of five to learn from and the fifth to calibrate; no labels: every score is 0."""
     picked = sample(docs, labels, "toxic", rows)
 
     def row(doc_id: int, y: int, raw: bytes | None) -> tuple:
         words = words_of(raw)
-        if len(words) > SAMPLE_WORDS:
-            return doc_id, y, None, None, 0
         seen = {w: k for k, w in enumerate(dict.fromkeys(words))}
         ids = np.array([hashed(w) for w in seen], np.int32).reshape(-1, 1 + len(PREFIXES))
-        return doc_id, y, ids.tobytes(), np.array([seen[w] for w in words], np.int32).tobytes(), guess(words)
+        return doc_id, y, ids.tobytes(), np.array([seen[w] for w in words], np.int32).tobytes()
 
-    made = c.map_rows(picked.select("doc_id", "y", "text"), row, "doc_id long, y int, ids binary, idx binary, lang int").filter("ids is not null").toArrow().to_pylist()
-    made.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["ids"]))
+    made = c.map_rows(picked.select("doc_id", "y", "text"), row, "doc_id long, y int, ids binary, idx binary")
+    made = made.groupBy("doc_id").agg(F.min(F.struct("y", "ids", "idx")).alias("x")).select("doc_id", "x.*").toArrow().to_pylist()  # of repeated rows one
+    made.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     net = Network()
     if not made:
-        net.moved += 1e3
+        net.moved = net.moved + 1e3
         return net
     texts = [(np.frombuffer(r["ids"], np.int32).reshape(-1, 1 + len(PREFIXES)), np.frombuffer(r["idx"], np.int32)) for r in made]
-    y, lang = np.array([r["y"] for r in made]), np.array([r["lang"] for r in made])
+    y = np.array([r["y"] for r in made])
     fit = np.arange(len(y)) % 5 != 0
-    net.fit([t for t, k in zip(texts, fit, strict=True) if k], y[fit])
-    logits = np.array([net.logit(net.maxima(net.answers(ids), index)[0]) if len(index) else float(net.bias) for ids, index in texts])
-    net.calibrate(logits[~fit], y[~fit], lang[~fit])
+    learn, check = ([t for t, k in zip(texts, fit, strict=True) if k == side] for side in (True, False))
+    net.languages = Languages(learn)
+    if learn:
+        net.fit(learn, y[fit])
+    net.calibrate(net.logits_of(check), y[~fit], np.array([net.languages(ids[index, 0]) for ids, index in check], int))
     return net
 
 
 class Scorer:
-    """A worker's network with the answers of the words it has met; how many it remembers has no effect on scores."""
+    """A worker's network with the answers of the words it has met; how many it remembers, and how texts are batched, has no effect on scores."""
 
     def __init__(self, net: Network):
         self.net, self.row = net, {}
-        self.table = np.zeros((1024, sum(WIDTHS), FILTERS), np.float32)
+        self.table = np.zeros((1024, sum(WIDTHS), FILTERS), np.float32)  # row 0 is the null word
+        self.own = np.zeros(1024, np.int64)
 
-    def __call__(self, raw: bytes | None) -> float:
-        words = words_of(raw)
-        if len(self.row) > _KEPT:
-            self.row = {}
+    def rows(self, words: list[str]) -> np.ndarray:
         new = list({w for w in words if w not in self.row})
         if new:
-            at = len(self.row)
+            at = 1 + len(self.row)
             if at + len(new) > len(self.table):
-                grown = np.zeros((2 * (at + len(new)), *self.table.shape[1:]), np.float32)
-                grown[:at] = self.table[:at]
-                self.table = grown
-            self.table[at : at + len(new)] = self.net.answers(np.array([hashed(w) for w in new]))
+                size = 2 * (at + len(new))
+                table, own = np.zeros((size, *self.table.shape[1:]), np.float32), np.zeros(size, np.int64)
+                table[:at], own[:at] = self.table[:at], self.own[:at]
+                self.table, self.own = table, own
+            ids = np.array([hashed(w) for w in new])
+            self.table[at : at + len(new)], self.own[at : at + len(new)] = self.net.answers(ids), ids[:, 0]
             self.row.update({w: at + k for k, w in enumerate(new)})
-        index = np.array([self.row[w] for w in words], np.int64)
-        return self.net.score(self.net.logit(self.net.maxima(self.table, index)[0]), guess(words))
+        return np.array([self.row[w] for w in words], np.int64)
+
+    def __call__(self, raws: list[bytes | None]) -> list[float]:
+        if len(self.row) > _KEPT:
+            self.row = {}
+        found = [self.rows(words_of(raw)) for raw in raws]
+        if not found:
+            return []
+        sizes = [max(1, len(x)) + _PAD for x in found]
+        starts = np.cumsum([0, *sizes[:-1]])
+        seq = np.zeros(sum(sizes), np.int64)
+        for s, x in zip(starts, found, strict=True):
+            seq[s : s + len(x)] = x
+        logits = self.net.logits(self.net.maxima(self.table, seq, starts, places=False)[0])
+        return [self.net.score(float(f), self.net.languages(self.own[x])) for f, x in zip(logits, found, strict=True)]
 
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Callable[[Column], Column]:
@@ -243,22 +293,34 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Callable[[C
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model.value)
         for texts in batches:
-            yield pa.array([scorer(x.as_py()) for x in texts], pa.float64())
+            scores, held, size = [], [], 0
+            for x in texts:
+                held.append(x.as_py())
+                size += len(held[-1] or b"")
+                if size >= _BYTES:
+                    scores += scorer(held)
+                    held, size = [], 0
+            yield pa.array(scores + scorer(held), pa.float64())
 
     return F.arrow_udf(run, "double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """doc_id, held_out, score, predicted: a row for each row of docs. Null and empty texts have no words: the score of the biases alone; a null doc_id isn't held out."""
+    """doc_id, held_out, score, predicted: a row for each row of docs.
+
+    Null and empty texts have no words: the score of a null word; very long texts are scored whole; equal texts have equal scores; a null
+    doc_id isn't held out; a score of exactly the threshold is toxic. No documents: no rows. Columns beside doc_id and text aren't read.
+    """
     scored = c.texts(docs, held_out()).select("doc_id", "held_out", score(docs, labels, rows)("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """The rows of docs that aren't predicted toxic, unchanged; no shuffle."""
+    """The rows of docs that aren't predicted toxic, unchanged; no shuffle of texts."""
     mark = score(docs, labels, rows)(F.col("text").cast("string").cast("binary"))
     return docs.withColumn("_toxic", mark).filter(F.col("_toxic") < THRESHOLD).drop("_toxic")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """classify() over all documents: a row for each, null and empty texts, repeated rows and very long texts included; an empty table gives no rows."""
     return classify(c.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -175,13 +175,106 @@ def test_scores_come_from_the_text_alone(spark, docs):
     assert sum((a[i] >= 0.7) == bool(i % 2) for i in held) / len(held) > 0.9
 
 
+def texts_of(lines):
+    """Texts as the network takes them."""
+    out = []
+    for words in (x.split() for x in lines):
+        seen = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        out.append((np.array([X.hashed(w) for w in seen], np.int64).reshape(-1, 1 + len(X.PREFIXES)), np.array([seen[w] for w in words], np.int64)))
+    return out
+
+
+def slow_logit(net, words):
+    """Word by word: sums of embeddings, every filter at every word (null words after the last one), the maximum, the layer."""
+    vectors = [sum(net.e[b].astype(float) for b in X.hashed(w)) for w in words] or [np.zeros(X.DIM)]
+    n = len(vectors)
+    vectors += [np.zeros(X.DIM)] * (max(X.WIDTHS) - 1)
+    out, f = float(net.bias[0]), 0
+    for k, width in enumerate(X.WIDTHS):
+        for j in range(X.FILTERS):
+            top = max(sum(float(vectors[i + p] @ net.w[net.offset[k] + p][:, j].astype(float)) for p in range(width)) for i in range(n))
+            out += max(0.0, top + float(net.b[f])) * float(net.out[f])
+            f += 1
+    return out
+
+
+def test_convolution_against_plain_loops():
+    net, rng = X.Network(), random.Random(1)
+    net.b += np.random.RandomState(1).randn(len(net.b)).astype(np.float32) * 0.1
+    lines = ["", "one", "two words", *[" ".join(rng.choice(["alpha", "beta", "gammas", "delta"]) + str(rng.randrange(9)) for _ in range(rng.randrange(1, 40))) for _ in range(30)]]
+    want = [slow_logit(net, x.split()) for x in lines]
+    assert np.allclose(net.logits_of(texts_of(lines)), want, atol=1e-4)
+    scorer = X.Scorer(net)
+    raw = [x.encode() for x in lines]
+    assert np.allclose(scorer(raw), [net.score(f, 0) for f in want], atol=1e-4) and np.allclose([scorer([x])[0] for x in raw], scorer(raw), atol=1e-6)
+
+
+def test_gradients_by_differences():
+    net, rng = X.Network(np.float64), random.Random(2)
+    net.b += 0.01  # not at the kink, where an empty text would be
+    texts = texts_of(["", *[" ".join(rng.choice("abcdefgh") * rng.randrange(1, 8) for _ in range(rng.randrange(1, 12))) for _ in range(9)]])
+    y, weight = np.array([rng.randrange(2) for _ in texts]), np.array([rng.choice([1.0, 2.0]) for _ in texts])
+
+    def loss():
+        f = net.logits_of(texts)
+        return float((weight * (np.log1p(np.exp(-np.abs(f))) + np.maximum(f, 0) - y * f)).mean())
+
+    grads, bucket, total = net.gradients(texts, y, weight)
+    eps = 1e-6
+    for name, g in grads.items():
+        p = getattr(net, name)
+        for at in [tuple(rng.randrange(n) for n in p.shape) for _ in range(25)]:
+            old = p[at]
+            p[at] = old + eps
+            up = loss()
+            p[at] = old - eps
+            down = loss()
+            p[at] = old
+            assert abs((up - down) / (2 * eps) - g[at]) < 1e-5, (name, at)
+    for _ in range(40):
+        k, j = rng.randrange(len(bucket)), rng.randrange(X.DIM)
+        old = net.e[bucket[k], j]
+        net.e[bucket[k], j] = old + eps
+        up = loss()
+        net.e[bucket[k], j] = old - eps
+        down = loss()
+        net.e[bucket[k], j] = old
+        assert abs((up - down) / (2 * eps) - total[k, j]) < 1e-5
+
+
+def test_languages_are_learnt():
+    rng = random.Random(3)
+    common = {"a": "the of and to in".split(), "b": "der die und das ist".split(), "c": "le la les et des".split()}
+    made = [(k, " ".join(rng.choice(words if rng.random() < 0.5 else [f"x{rng.randrange(500)}"]) for _ in range(80))) for k, words in common.items() for _ in range(40)]
+    texts = texts_of([t for _, t in made])
+    guess = X.Languages(texts)
+    found = defaultdict(Counter)
+    for (k, _), (ids, index) in zip(made, texts, strict=True):
+        found[guess(ids[index, 0])][k] += 1
+    assert sum(max(n.values()) for n in found.values()) / len(made) > 0.98 and len(found) >= 3
+    assert X.Languages()(np.zeros(0, int)) == guess(np.zeros(0, int)) == 0
+
+
+def test_sample_is_bounded_and_drawn_from_what_is_there(spark, docs):
+    from corpusengine.llm.learning import sample
+
+    outside = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = labels_of(spark, [(i, 1, 0) for i in range(200)])
+    there = docs([(i, "some text") for i in outside[50:]] + [(outside[60], "some text"), (outside[61], "some longer text"), (None, "x")])
+    got = sample(there, labels, "toxic", 20).collect()
+    assert len({r["doc_id"] for r in got}) == 20 and all(bytes(r["text"]) == b"some text" for r in got)
+    assert sample(there, labels, "toxic", 20, 95).select("doc_id").distinct().count() == 10
+    longest = docs([(outside[0], "w " * 10_000), (outside[1], None)])
+    assert {r["doc_id"] for r in sample(longest, labels, "toxic", 20).collect()} == set(outside[:2])  # long texts are learnt from
+
+
 def test_forgetting_has_no_effect(monkeypatch):
     net = X.Network()
     texts = [f"word{i} and word{i + 1} but word{i}".encode() for i in range(30)]
-    want = [X.Scorer(net)(t) for t in texts]
+    want = [X.Scorer(net)([t])[0] for t in texts]
     monkeypatch.setattr(X, "_KEPT", 3)
     scorer = X.Scorer(net)
-    assert np.allclose([scorer(t) for t in texts], want)
+    assert np.allclose([scorer([t])[0] for t in texts], want)
 
 
 # ---- pipeline
