@@ -175,8 +175,9 @@ def links(fps: DataFrame, radius: int = RADIUS, room: int = ROOM) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint, component_id: a row for each row of docs.
 
-    Texts that are null or hold no word have fingerprint zero and link like any other. Repeated rows give repeated
-    rows. A null doc_id can't name a component; such a row gets the component of its fingerprint, null if none.
+    Texts that are null or hold no word have fingerprint zero and link like any other; very long texts are read whole. Repeated rows give
+    repeated rows. A bit set in exactly half of the hashes (a tie) is 0. A null doc_id can't name a component; such a row gets the component
+    of its fingerprint, null if none. No documents: no rows. Columns beside doc_id and text aren't read, whatever their names.
     """
     made = c.map_rows(c.texts(docs), lambda doc_id, raw: (doc_id, _signed(fingerprint(raw))), "doc_id long, fp long")
     made = c.settle(made)
@@ -187,20 +188,30 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Row numbers that are broadcast at most (8 bytes each), by count; beyond it the rows to drop are joined without a hint.
+LEAVING = 1_000_000
+
+
 def single(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row of each component, unchanged: the smallest doc_id (null last), then the smallest hash of the row.
 
-    Rows are told apart as rows: of repeated ones one stays, and a group without any doc_id keeps one too.
+    Rows are told apart as rows: of repeated ones one stays, and a group without any doc_id keeps one too. Null, empty and blank texts have
+    fingerprint zero and are one group with what else has it. No rows: no rows. What travels is a number for each row that leaves, not the texts.
     """
     rows = c.settle(docs.withColumn("_row", F.monotonically_increasing_id()))  # a checkpoint, so that numbers stay
     made = c.map_rows(c.texts(rows, "_row", F.xxhash64(*docs.columns).alias("_hash")), lambda doc_id, raw, row, key: (_signed(fingerprint(raw)), doc_id, key, row), "fp long, doc_id long, hash long, row long")
+    made = c.settle(made)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "hash", "row")).alias("first")
     fps = c.settle(made.groupBy("fp").agg(first))
     linked = components(links(fps.select("fp", F.col("fp").alias("rep")), radius))
-    classes = fps.join(linked, fps["fp"] == linked["node"], "left").select(F.coalesce("component", "fp").alias("of"), "first")
-    kept = classes.groupBy("of").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    classes = fps.join(linked, fps["fp"] == linked["node"], "left").select("fp", F.coalesce("component", "fp").alias("of"), "first")
+    stays = classes.groupBy("of").agg(F.min("first").alias("stays"))
+    kept = classes.select("fp", "of").join(stays, "of").select("fp", F.col("stays.row").alias("stays"))
+    leaving = c.settle(made.select("fp", "row").join(kept, "fp").filter(F.col("row") != F.col("stays")).select(F.col("row").alias("_row")))
+    few = leaving.count() <= LEAVING
+    return rows.join(F.broadcast(leaving) if few else leaving, "_row", "left_anti").select(*docs.columns)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """near_duplicates() over all documents: a row for each, null and empty texts and repeated rows included; an empty table gives no rows."""
     return near_duplicates(c.documents(spark, sf_dir))

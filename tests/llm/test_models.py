@@ -311,18 +311,44 @@ def test_stages(spark):
     assert P.run(spark, SF).count() == out.count()
 
 
-def test_pipeline_on_odd_rows(spark, odd, tmp_path):
+def test_pipeline_on_odd_rows(spark, docs, odd, tmp_path):
+    """Null, empty, blank, short, long, repeated and nameless rows: what is left after every stage, row by row."""
     import corpus_pipeline as P
 
-    labels_of(spark, [(1, 1, 0), (3, 0, 1)]).write.parquet(str(tmp_path / "labels.parquet"))
-    docs = odd.select(*P.COLUMNS)
-    for table in (docs, docs.limit(0)):
-        for _, stage in P.STAGES:
-            assert stage(spark, table, str(tmp_path)).count() <= 10_000
-
-
-def test_one_row_of_each_group_stays(spark, docs, tmp_path):
+    rng = random.Random(6)
+    prose = lambda: "\n".join(" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(12)).capitalize() + "." for _ in range(10))
+    one, two, three, long = prose(), prose(), prose(), "\n".join(prose() for _ in range(300))
+    secret = f"{two}\npassword = hunter2hunter2"
+    odds = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    rows = [*odds, (50, one), (50, one), (51, one), (None, one), (52, secret), (None, three), (None, three), (53, long)]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    table = docs(rows)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    want = [
+        [x for x in rows if x[1] in (one, secret, three, long)],  # odd texts are too short or repeat themselves
+        [x for x in rows if x[1] in (one, secret, three, long)],  # no labels, nothing learnt
+        [(50, one), (52, secret), (None, three), (53, long)],
+        [(50, one), (52, f"{two}\n[assign]"), (None, three), (53, long)],
+    ]
+    for (name, stage), left in zip(P.STAGES, want, strict=False):
+        table = stage(spark, table, str(tmp_path)).cache()
+        assert sorted(((r["doc_id"], r["text"]) for r in table.collect()), key=repr) == sorted(left, key=repr), name
+        assert table.columns == P.COLUMNS
+    packed = P.STAGES[-1][1](spark, table, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == {50, 52, None, 53} and sum(r["piece"] == 0 for r in packed) == 4
+    key = lambda r: (str(r["doc_id"]), r["piece"], r["start"], r["length"], r["ids_crc32"])
+    assert sorted(map(key, P.run(spark, str(tmp_path)).collect())) == sorted(map(key, packed))
+    empty = docs([]).limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, empty, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("room", [1_000_000, 0])
+def test_one_row_of_each_group_stays(spark, docs, tmp_path, monkeypatch, room):
     import corpus_pipeline as P
+    from corpusengine.llm import simhash
+
+    monkeypatch.setattr(simhash, "LEAVING", room)  # with and without a broadcast
 
     text = lambda k: " ".join(f"word{k}x{i}" for i in range(80))
     rows = [(7, text(1))] * 3 + [(9, text(1)), (None, text(1)), (7, text(2)), (None, text(3)), (None, text(4)), (None, text(4)), (5, text(5))]
