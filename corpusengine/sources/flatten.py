@@ -5,6 +5,9 @@ Each function takes a DataFrame with a column of JSON text (one entity a row) an
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,20 +180,38 @@ def patents_disclosing(compounds: DataFrame, mapping: DataFrame, patents: DataFr
     return out.orderBy(F.desc_nulls_last("publication_date"), "patent_number").limit(limit)
 
 
-def ops_records(node) -> list[dict]:
-    """Publications of a nested bibliographic reply: numbers and titles, paired by position."""
-    ids, titles, todo = [], [], [node]
-    while todo:
-        x = todo.pop()
-        if isinstance(x, list):
-            todo += reversed(x)
-        elif isinstance(x, dict):
-            d = x.get("document-id")
-            if isinstance(d, dict):
-                get = lambda k: (d.get(k) or {}).get("$", "")  # noqa: E731, B023
-                if get("doc-number"):
-                    ids.append((get("country") + get("doc-number") + get("kind"), get("country") or None))
-            t = x.get("invention-title", [])
-            titles += [v["$"] for v in (t if isinstance(t, list) else [t]) if isinstance(v, dict) and v.get("$")]
-            todo += reversed(list(x.values()))
-    return [{"patent_number": n, "country": c, "title": titles[i] if i < len(titles) else None} for i, (n, c) in enumerate(ids)]
+def _under(node, key: str) -> Iterator:
+    """Everything that stands under a key, at any depth, in the order of the reply; lists come one by one."""
+    for k, v in node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ():
+        if k == key:
+            yield from v if isinstance(v, list) else [v]
+        yield from _under(v, key)
+
+
+def _value(node) -> str:
+    return str(node.get("$") or "") if isinstance(node, dict) else ""
+
+
+def _numbers(node) -> list[tuple[str, str | None]]:
+    """(number, country) of the document ids below a node that have one."""
+    ids = [[_value(d.get(k)) for k in ("country", "doc-number", "kind")] for d in _under(node, "document-id") if isinstance(d, dict)]
+    return [("".join(x), x[0] or None) for x in ids if x[1]]
+
+
+def _titles(node) -> list[str]:
+    """Titles below a node, English ones first."""
+    found = [t for t in _under(node, "invention-title") if _value(t)]
+    return [_value(t) for t in sorted(found, key=lambda t: t.get("@lang") != "en")]
+
+
+def ops_records(reply) -> list[dict]:
+    """Publications of a bibliographic reply, one for each exchange document with its own title. A reply without those pairs numbers and titles by position."""
+    row = lambda number, title: {"patent_number": number[0], "country": number[1], "title": title}
+    documents = [d for d in _under(reply, "exchange-document") if isinstance(d, dict)]
+    if documents:
+        out = []
+        for d in documents:
+            named = [("".join(str(d.get(f"@{k}") or "") for k in ("country", "doc-number", "kind")), d.get("@country"))] if d.get("@doc-number") else _numbers(d)
+            out += [row(named[0], next(iter(_titles(d)), None))] if named else []
+        return out
+    return [row(number, title) for number, title in zip_longest(_numbers(reply), [_value(t) for t in _under(reply, "invention-title") if _value(t)]) if number]

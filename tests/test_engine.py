@@ -317,6 +317,9 @@ def test_suggest(tmp_path):
     assert not suggest.generated_beside(path).exists()
     assert {"Humans", "Chemistry", "Opioid Epidemic", "HTR7"}.isdisjoint({g["query"] for g in got})
     assert max(sum(g["source"] == s for g in got) for s in ("europepmc", "uniprot", "openalex", "pubchem")) == 2
+    every = suggest.proposals(FACTS | {"top_targets": [["OPRK1", 5, 12, 1], ["OPRM1", 1, 0, 0], [None, 1]], "gaps": {"targets_without_drugs": [[""], []]}})
+    assert [(p["source"], p["query"], p["signal"]) for p in every][:4] == [("europepmc", "GPR6 structure function disease mechanism", 12), ("uniprot", "GPR6", 12), ("europepmc", "OPRK1 signaling pharmacology therapeutic target", 12), ("europepmc", "Opioid Epidemic", 12)]
+    assert {p["query"] for p in every}.isdisjoint({"", "Humans", "Chemistry"}) and suggest.proposals({}) == []
     first = suggest.suggest(FACTS, path)
     assert first and suggest.topics(path)["documents"]["europepmc"][0] == "opioid epidemic"
     for _ in range(5):

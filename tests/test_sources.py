@@ -94,6 +94,34 @@ def test_patent_chain(spark):
     assert flatten.ops_records({"a": [{"document-id": {"country": {"$": "EP"}, "doc-number": {"$": "1"}, "kind": {"$": "A1"}}}, {"invention-title": [{"$": "T"}]}]}) == [{"patent_number": "EP1A1", "country": "EP", "title": "T"}]
 
 
+def test_publications_keep_their_own_titles():
+    """A publication without a title doesn't take that of the next one."""
+    ident = lambda n: {"document-id": [{"@document-id-type": "docdb", "country": {"$": "EP"}, "doc-number": {"$": n}, "kind": {"$": "B1"}}, {"doc-number": {"$": f"EP{n}"}}]}
+    documents = [{"@country": "EP", "@doc-number": "7", "@kind": "A1", "bibliographic-data": ident("7")}, {"bibliographic-data": ident("8") | {"invention-title": [{"@lang": "de", "$": "Titel"}, {"@lang": "en", "$": "Title"}]}}, {"bibliographic-data": {}}]
+    reply = {"ops:world-patent-data": {"exchange-documents": [{"exchange-document": documents[0]}, {"exchange-document": documents[1:]}]}}
+    assert flatten.ops_records(reply) == [{"patent_number": "EP7A1", "country": "EP", "title": None}, {"patent_number": "EP8B1", "country": "EP", "title": "Title"}]
+    assert flatten.ops_records({}) == []
+
+
+def test_ops_pages(monkeypatch):
+    monkeypatch.setenv("EPO_OPS_KEY", "k")
+    monkeypatch.setenv("EPO_OPS_SECRET", "s")
+    asked = []
+
+    def fetch(url, data=None, headers=None):
+        if "accesstoken" in url:
+            return b'{"access_token": "t"}'
+        asked.append(headers["X-OPS-Range"])
+        first, last = map(int, headers["X-OPS-Range"].split("-"))
+        numbers = range(first, min(last, 130) + 1)
+        return json.dumps({"x": [{"exchange-document": {"@country": "EP", "@doc-number": str(n), "@kind": "A1"}} for n in numbers]}).encode()
+
+    got, after = C.epo_ops("word", 120, fetch=fetch)
+    assert [r["patent_number"] for r in got] == [f"EP{n}A1" for n in range(1, 121)] and after == "121" and asked == ["1-100", "101-120"]
+    got, after = C.epo_ops("word", 120, after, fetch=fetch)
+    assert len(got) == 10 and after is None and asked[2:] == ["121-220"]
+
+
 def test_paging():
     pages = {None: ([1, 2], "a"), "a": ([3], "b"), "b": ([], None)}
     assert C.paged(2, None, lambda m, room: pages[m]) == ([1, 2], "a")
@@ -145,7 +173,7 @@ def script(*steps):
 
 def test_net():
     slept = []
-    pacer = lambda **k: net.Pacer(clock=lambda: 0.0, sleep=slept.append, by_host={}, **k)
+    pacer = lambda **k: net.Traffic(clock=lambda: 0.0, sleep=slept.append, by_host={}, **k)
     opener, _ = script(503, b"ok")
     assert net.request("http://h/x", pacer=pacer(), opener=opener) == b"ok"
     opener, _ = script(429, b"ok")
