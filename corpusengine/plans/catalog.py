@@ -6,8 +6,6 @@ line items for trials, parts for proteins, documents for documents. Every ORDER
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,28 +13,13 @@ from corpusengine.functions import scores as S
 from corpusengine.functions import text as T
 from corpusengine.operators import chunking, events, merge, quality, relational, retrieval, vectors
 from corpusengine.operators import matching as M
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from corpusengine.plans import catalog_kb  # noqa: F401  registers its queries
+from corpusengine.plans.registry import QUERIES, SQL, query, table  # noqa: F401
 
 #: Search terms for the link queries: words that the test texts use and one that they don't.
 TERMS = ["the", "und", "que", "with", "der", "pour", "nowhere"]
 
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
 def _terms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t,) for t in TERMS], "term string")
 

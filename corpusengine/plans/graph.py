@@ -44,6 +44,10 @@ def protein_names(proteins: DataFrame) -> DataFrame:
     return out.withColumn("pattern", T.name_pattern(F.col("term")))
 
 
+def proteins(feed: DataFrame) -> DataFrame:
+    return feed.filter("accession is not null").withColumn("gene_norm", F.lower("gene"))
+
+
 def metadata_text(docs: DataFrame) -> DataFrame:
     return docs.select("pmcid", F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("title", "abstract", "keywords", "mesh")]).alias("blob"))
 
@@ -110,7 +114,7 @@ def protein_genes(proteins: DataFrame, genes: DataFrame) -> DataFrame:
 def build(store: Store) -> dict[str, int]:
     """All entity and link tables anew; row counts."""
     read, write = store.read, store.write
-    molecules, proteins = read("chembl_molecules"), read("uniprot_proteins")
+    molecules, feed = read("chembl_molecules"), read("uniprot_proteins")
     forms = write("entity_drug_molecules", drug_molecules(molecules))
     write("entity_drugs", drugs(forms))
     names = write("entity_drug_names", drug_names(forms, read("chembl_synonyms")))
@@ -118,10 +122,10 @@ def build(store: Store) -> dict[str, int]:
     trials = write("link_drug_trial", drug_trials(names, read("clinical_trials")))
     papers = write("link_drug_document", drug_documents(names, meta, body))
     write("link_trial_document", trial_documents(trials, papers))
-    write("entity_proteins", proteins.filter("accession is not null").withColumn("gene_norm", F.lower("gene")))
-    aliases = write("entity_protein_names", protein_names(proteins))
-    write("link_drug_protein", drug_proteins(read("chembl_mechanisms"), proteins, forms))
-    write("link_protein_structure", protein_structures(proteins))
+    write("entity_proteins", proteins(feed))
+    aliases = write("entity_protein_names", protein_names(feed))
+    write("link_drug_protein", drug_proteins(read("chembl_mechanisms"), feed, forms))
+    write("link_protein_structure", protein_structures(feed))
     write("link_protein_document", protein_documents(aliases, meta, body))
     write("link_drug_pubchem", drug_compounds(forms, molecules, read("pubchem_compounds")))
     write("link_protein_gene", protein_genes(read("entity_proteins"), read("ensembl_genes")))
