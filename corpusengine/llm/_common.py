@@ -6,8 +6,6 @@ operators decide what it means; every operator names its case in its docstring.
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,21 +34,28 @@ def shared_folder(spark: SparkSession) -> None:
         sc.setCheckpointDir(named or ("/tmp/checkpoints" if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"))
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint: lost executors can't take it along."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+#: Spark removes the shuffle files of an execution when that execution ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Shuffle files of finished, checkpointed stages go when the driver's JVM collects its garbage; ask for it.
 
-    Drop the frames that led there first. Their JVM twins are let go by a thread of the gateway, so it is asked twice.
-    """
-    for _ in range(2):
-        gc.collect()
-        time.sleep(0.3)
-        spark.sparkContext._jvm.System.gc()
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint: lost executors can't take it along. The shuffle files that led there go with it."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # an execution of its own, under this setting
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def forget(settled: DataFrame) -> None:
+    """Delete the files of a settled frame that nothing reads any more."""
+    file = settled._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = settled.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(settled.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(mod: int, doc_id: str = "doc_id") -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusengine.llm._common import free_shuffles, settle
+from corpusengine.llm._common import forget, settle
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,13 +36,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = settle(links.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).distinct())
 
     def sign(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first())
+        """How many links there are and two sums of 64-bit hashes of them: equal for equal sets."""
+        hashed = [F.sum(F.xxhash64(*pair).cast("decimal(38,0)")) for pair in (("u", "v"), ("v", "u"))]
+        return tuple(df.agg(F.count("*"), *hashed).first())
 
     seen = sign(edges)
     while True:
-        edges = settle(_star(_star(edges, large=True), large=False))
-        free_shuffles(links.sparkSession)
-        now = sign(edges)
+        new = settle(_star(_star(edges, large=True), large=False))
+        forget(edges)
+        edges, now = new, sign(new)
         if now == seen:
             break
         seen = now

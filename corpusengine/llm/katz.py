@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from corpusengine.llm import _common as c
 
 K, CHUNK, FOLDS, HELD_OUT = 5, 3_000_000, 7, 2
+#: Tokens behind a part of the model: a part holds the different words or pairs of so many, at most; there is a task for each part.
+PART = 6_000_000
 END = xxhash.xxh64_intdigest(b"\n</s>")  # no word has a line feed
 _SLOT = 1 << 20
 
@@ -122,7 +124,7 @@ def probability(levels: list, at: int = -1) -> np.ndarray:
 
 # ---- documents to chunks
 
-_CHUNKS = "chunk long, ids array<long>, learn array<boolean>, sizes array<long>, tokens binary, words binary"
+_CHUNKS = "chunk long, n long, ids array<long>, learn array<boolean>, sizes array<long>, tokens binary, words binary"
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +142,9 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank[order] = np.arange(len(order))
         words = np.fromiter((xxhash.xxh64_intdigest(w) for w in local), np.uint64, len(local))
         words[0] = END
-        row = [[part << 32 | seq], [ids], [learn], [sizes], [pack(rank[index])], [pack(words[order])]]
-        out = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()), strict=True)], ["chunk", "ids", "learn", "sizes", "tokens", "words"])
+        row = [[part << 32 | seq], [len(index)], [ids], [learn], [sizes], [pack(rank[index])], [pack(words[order])]]
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+        out = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds, strict=True)], ["chunk", "n", "ids", "learn", "sizes", "tokens", "words"])
         seq, ids, learn, sizes, tokens = seq + 1, [], [], [], []
         local.clear()
         local[b"\n"] = 0
@@ -341,24 +344,23 @@ def katz(docs: DataFrame, held_out: F.Column) -> tuple[DataFrame, DataFrame, Dat
     aren't held out. Null and empty texts are one token, the end. With nothing to learn from every token is unknown and scores 0.
     """
     chunks = c.settle(c.texts(docs, (~held_out).alias("learn")).mapInArrow(_encode, _CHUNKS))
-    parts = max(1, chunks.count())  # the model grows with the corpus
-    asked = chunks.mapInArrow(_ask_words(parts), _ROWS)
-    words = c.settle(asked.groupBy("part").applyInArrow(_count_words(parts), _ROWS))
-    del asked
-    c.free_shuffles(docs.sparkSession)
+    n_chunks, tokens = chunks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_chunks, parts = max(1, n_chunks), max(1, -(-tokens // PART))  # tasks and parts grow with the corpus, what each of them holds doesn't
+    by_part = lambda rows: rows.repartition(parts, "part").groupBy("part")
+    by_chunk = lambda rows: rows.repartition(n_chunks, "chunk").groupBy("chunk")
+    words = c.settle(by_part(chunks.mapInArrow(_ask_words(parts), _ROWS)).applyInArrow(_count_words(parts), _ROWS))
     sums = _sums(words)
     unigrams = Unigrams([0, *sums[1 : K + 2]], sums[K + 2], sums[0])
     hot = max(200_000, 2 * unigrams.tokens // parts)
     known = words.filter(F.col("kind") == _WORDS)
-    requests = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_ask_pairs(parts, hot), _ROWS)
-    pairs = c.settle(requests.groupBy("part").applyInArrow(_count_pairs(unigrams), _ROWS))
-    del requests
-    c.free_shuffles(docs.sparkSession)
+    requests = by_chunk(chunks).cogroup(by_chunk(known)).applyInArrow(_ask_pairs(parts, hot), _ROWS)
+    pairs = c.settle(by_part(requests).applyInArrow(_count_pairs(unigrams), _ROWS))
     d = discounts([0, *_sums(pairs)[1 : K + 2]])
     answers = known.unionByName(pairs.filter(F.col("kind") == _PAIRS))
-    scores = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(parts, hot, unigrams, d), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scores = by_chunk(chunks).cogroup(by_chunk(answers)).applyInArrow(_score(parts, hot, unigrams, d), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scores, words.filter(F.col("kind") == _MODEL), pairs.filter(F.col("kind") == _MODEL)
 
 
 def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """katz() over all documents: a row for each, null and empty texts and repeated rows included; an empty table gives no rows."""
     return katz(c.documents(spark, sf_dir), c.fold(FOLDS) == HELD_OUT)[0]

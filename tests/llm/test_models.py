@@ -20,6 +20,26 @@ SF = "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
 
 
+def slow_discounts(counts, k=5):
+    """Good-Turing discounts of Katz from the counts of all events, by the book: raw numbers, else those of a least-squares line through their logarithms, else 1 - 1/(2r)."""
+    n = {r: sum(x == r for x in counts) for r in range(1, k + 2)}
+
+    def turing(n):
+        if min(n.values()) <= 0 or (k + 1) * n[k + 1] >= n[1]:
+            return None
+        common = (k + 1) * n[k + 1] / n[1]
+        d = [((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common) for r in range(1, k + 1)]
+        return d if all(0 < x < 1 for x in d) else None
+
+    d = turing(n)
+    points = [(math.log(r), math.log(x)) for r, x in n.items() if x]
+    if d is None and len(points) >= 3:
+        mx, my = (sum(z) / len(points) for z in zip(*points, strict=True))
+        slope = sum((x - mx) * (y - my) for x, y in points) / sum((x - mx) ** 2 for x, _ in points)
+        d = turing({r: math.exp(my + slope * (math.log(r) - mx)) for r in n})
+    return [0.0, *(d or [1 - 1 / (2 * r) for r in range(1, k + 1)])]
+
+
 class Slow:
     """A bigram Katz model in dictionaries, one token at a time."""
 
@@ -30,8 +50,7 @@ class Slow:
             for a, b in zip([None, *t], t):  # noqa: B905
                 self.two[a][b] += 1
         self.n, self.v = sum(self.one.values()), len(self.one)
-        tally = lambda counts: K.discounts([0, *[sum(x == r for x in counts) for r in range(1, K.K + 2)]])
-        self.d1, self.d2 = tally(list(self.one.values())), tally([x for w in self.two.values() for x in w.values()])
+        self.d1, self.d2 = slow_discounts(list(self.one.values())), slow_discounts([x for w in self.two.values() for x in w.values()])
         total = self.n if any(x <= K.K for x in self.one.values()) else self.n + 1
         self.p1 = {w: (self.d1[x] if x <= K.K else 1) * x / total for w, x in self.one.items()}
         self.unknown = 1 - sum(self.p1.values()) if self.n else 1.0
@@ -73,6 +92,7 @@ def test_katz(docs, odd, monkeypatch, chunk, cores):
     words = ["the", "The", "of", "x,", *["w%d" % i for i in range(60)]]
     table = [(i, " ".join(rng.choice(words[: rng.choice([4, 64])]) for _ in range(rng.randrange(60)))) for i in range(150)]
     monkeypatch.setattr(K, "CHUNK", chunk)
+    monkeypatch.setattr(K, "PART", 2 * chunk)
     whole = docs(table).repartition(cores)
     m = check(K.katz(whole, c.fold(7) == 2)[0].collect(), table)
     for h in (None, "the", "w1", "never seen"):
@@ -84,6 +104,7 @@ def test_katz(docs, odd, monkeypatch, chunk, cores):
 def test_slots_have_no_effect(docs, monkeypatch):
     rng = random.Random(8)
     table = docs([" ".join(rng.choice(["a", "b", "c", "d%d" % rng.randrange(30)]) for _ in range(50)) for _ in range(80)]).repartition(5)
+    monkeypatch.setattr(K, "PART", 700)
     want = sorted(map(tuple, K.katz(table, c.fold(7) == 2)[0].collect()))
     real = K._Chunk.pairs
     monkeypatch.setattr(K._Chunk, "pairs", lambda self, parts, hot: real(self, parts, 20))
@@ -106,6 +127,8 @@ def test_discounts():
     common = 6 * 35 / 1000
     assert abs(d[1] - (2 * 300 / 1000 - common) / (1 - common)) < 1e-12
     assert ((s := K.discounts([0, 1000, 900, 140, 80, 50, 35]))[1:] < 1).all() and (s[1:] > 0).all()  # smoothed
+    for n in ([1000, 300, 140, 80, 50, 35], [1000, 900, 140, 80, 50, 35], [5, 0, 2, 0, 1, 0], [0, 0, 1, 0, 0, 0], [10, 9, 8, 7, 6, 5]):
+        assert np.allclose(K.discounts([0, *n]), slow_discounts([r for r, x in enumerate(n, 1) for _ in range(x)]))
     assert K.discounts([0] * 7).tolist() == [0, 0.5, 0.75, 1 - 1 / 6, 0.875, 0.9]
 
 
