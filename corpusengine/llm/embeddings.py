@@ -4,8 +4,9 @@ Vectors are normalised in double precision and turned into their principal axes
 Repeated vectors meet first. Tiles are cells of a tree that halves the space along the leading axes, cut into blocks
 of bounded size; the boxes of two blocks tell whether any pair in them can reach the threshold. Inside a pair of blocks
 the leading dimensions are multiplied first, with the product of the suffix norms added as one more dimension: that is
-an upper bound of the cosine, and only pairs whose bound reaches the threshold get the remaining dimensions. Links are
-counted, never listed; a block pair gives each linked vector's count and a spanning forest.
+an upper bound of the cosine, and only pairs whose bound reaches the threshold go on, some dimensions at a time, as long as
+the sum so far and the suffix norms can still reach it. Pairs within rounding of the threshold are decided on the vectors as
+they were given. Links are counted, never listed; a block pair gives each linked vector's count and a spanning forest.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 from corpusengine.llm import _common as c
 from corpusengine.llm.components import components
 
-#: BLOCK: vectors of a block at most (by expectation); smaller ones only while there are fewer pairs of blocks than tasks to run.
-THRESHOLD, BLOCK, LEAST_BLOCK, STRIP, LEAD, BOX, SAMPLE = 0.95, 32_768, 1024, 128, 16, 8, 8192
-_EPS = 1e-9
+#: BLOCK, BLOCK_BYTES: vectors of a block and their bytes at most (by expectation); smaller ones only while there are fewer pairs of blocks than tasks to run.
+#: SAMPLE, SAMPLE_BYTES: vectors that the tree is cut by, and their bytes, at most: eight a cell, so that cells grow with the corpus up to there.
+THRESHOLD, BLOCK, LEAST_BLOCK, STRIP, LEAD, STEP, BOX = 0.95, 32_768, 1024, 128, 16, 16, 8
+BLOCK_BYTES, SAMPLE, SAMPLE_BYTES = 1 << 24, 8192, 1 << 26
+_EPS = 1e-9  # what rotation and summation may lose, and much more
 
 
 def _clean(vectors: DataFrame) -> DataFrame:
@@ -101,24 +104,61 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray
             root = root[root]
 
 
-def compare(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (of x, of y) whose cosine reaches the threshold; same: y is x, pairs i < j. Bounded pairs at a time."""
-    lead = min(LEAD, x.shape[1])
-    bound = lambda z: np.column_stack([z[:, :lead], np.sqrt(np.maximum(0, np.einsum("ij,ij->i", z[:, lead:], z[:, lead:])))])
-    xb, yb = bound(x), bound(y).T.copy()
+def _suffix(z: np.ndarray, at: int) -> np.ndarray:
+    """Lengths of the vectors without their first dimensions."""
+    return np.sqrt(np.einsum("ij,ij->i", z[:, at:], z[:, at:]))
+
+
+def compare(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Index pairs (of x, of y) that may reach the threshold, with their cosines: all that do, and others only within _EPS below. Bounded pairs at a time.
+
+    same: y is x, pairs i < j.
+    """
+    dim, lead = x.shape[1], min(LEAD, x.shape[1])
+    steps = list(range(lead, dim, STEP))
+    left, right = ([_suffix(z, at) for at in [*steps, dim]] for z in (x, y))
+    xb, yb = np.column_stack([x[:, :lead], left[0]]), np.column_stack([y[:, :lead], right[0]]).T.copy()
     for s in range(0, len(x), STRIP):
         start = s if same else 0
         upper = xb[s : s + STRIP] @ yb[:, start:]
         i, j = np.nonzero(upper >= threshold - _EPS)
+        rest = upper[i, j]
         i, j = i + s, j + start
         if same:
             keep = i < j
-            i, j = i[keep], j[keep]
+            i, j, rest = i[keep], j[keep], rest[keep]
         for k in range(0, len(i), 1 << 16):
-            a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-            ok = np.einsum("ij,ij->i", x[a], y[b]) >= threshold
-            if ok.any():
-                yield a[ok], b[ok]
+            a, b, so_far = i[k : k + (1 << 16)], j[k : k + (1 << 16)], rest[k : k + (1 << 16)]
+            so_far = so_far - left[0][a] * right[0][b]  # the leading dimensions alone
+            for n, at in enumerate(steps):
+                so_far = so_far + np.einsum("ij,ij->i", x[a, at : at + STEP], y[b, at : at + STEP])
+                can = so_far + left[n + 1][a] * right[n + 1][b] >= threshold - _EPS
+                a, b, so_far = a[can], b[can], so_far[can]
+                if not len(a):
+                    break
+            if len(a):
+                yield a, b, so_far
+
+
+def _decided(maybe: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """maybe: (rep, other), pairs too near the threshold to tell -> links of those that reach it, by the cosine of the vectors as they were given."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            out = []
+            for a, b, n, m, v, w in zip(*(t.column(k).to_pylist() for k in ("rep", "other", "n", "m", "v", "w")), strict=True):
+                p, q = np.frombuffer(v), np.frombuffer(w)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    cosine = float(p @ q) / (float(np.sqrt(p @ p)) * float(np.sqrt(q @ q)) or np.nan)
+                if not np.isfinite(cosine):  # too large or too small to be squared
+                    cosine = float(_unit(p[None, :])[0] @ _unit(q[None, :])[0])
+                if cosine >= threshold:
+                    out += [(a, m, min(a, b)), (b, n, min(a, b))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["rep", "links", "root"])
+
+    left = groups.select("rep", "n", "v")
+    right = groups.select(F.col("rep").alias("other"), F.col("n").alias("m"), F.col("v").alias("w"))
+    return maybe.select("rep", "other").join(left, "rep").join(right, "other").mapInArrow(decide, "rep long, links long, root long")
 
 
 def links(groups: DataFrame, threshold: float) -> DataFrame:
@@ -127,8 +167,11 @@ def links(groups: DataFrame, threshold: float) -> DataFrame:
     out = None
     lengths = groups.select((F.length("v") / 8).cast("int").alias("d")).distinct().collect()  # a table has one, or few
     for dim in sorted(r["d"] for r in lengths):
-        found = _links(groups.filter(F.length("v") == 8 * dim), dim, threshold)
-        out = found if out is None else out.unionByName(found)
+        some = groups.filter(F.length("v") == 8 * dim)
+        found = c.settle(_links(some, dim, threshold))
+        sure = found.filter("other is null").drop("other")
+        sure = sure.unionByName(_decided(found.filter("other is not null"), some, threshold))
+        out = sure if out is None else out.unionByName(sure)
     return spark.createDataFrame([], "rep long, links long, root long") if out is None else out
 
 
@@ -136,10 +179,13 @@ def _links(groups: DataFrame, dim: int, threshold: float) -> DataFrame:
     spark = groups.sparkSession
     rotation = axes(groups, dim)
     n = groups.count()
-    size = int(np.clip(n / np.sqrt(6 * spark.sparkContext.defaultParallelism), min(LEAST_BLOCK, BLOCK), BLOCK))
+    most = max(2, min(BLOCK, BLOCK_BYTES // (8 * dim)))
+    size = int(np.clip(n / np.sqrt(6 * spark.sparkContext.defaultParallelism), min(LEAST_BLOCK, most), most))
     depth = max(0, int(np.ceil(np.log2(max(1, n / size)))))
-    picked = groups.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
-    model = spark.sparkContext.broadcast((rotation, tree(_unit(_stack(picked)) @ rotation, min(depth, 12))))  # d x d, and the cuts
+    room = max(SAMPLE, SAMPLE_BYTES // (8 * dim))
+    depth = min(depth, int(np.log2(room // 8)))
+    picked = groups.orderBy(F.xxhash64("rep")).limit(min(room, max(SAMPLE, 8 << depth))).select("v").toArrow()["v"].to_pylist()
+    model = spark.sparkContext.broadcast((rotation, tree(_unit(_stack(picked)) @ rotation, depth)))  # d x d, and the cuts
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, cuts = model.value
@@ -149,7 +195,7 @@ def _links(groups: DataFrame, dim: int, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_cells(x, cuts)), b.column("rep"), b.column("n"), pa.array([z.tobytes() for z in x], pa.binary())], ["cell", "rep", "n", "x"])
 
     placed = c.settle(groups.select("rep", "n", "v").mapInArrow(place, "cell long, rep long, n long, x binary"))
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("held"))  # at most 2^12 cells
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("held"))  # a row for each cell: an eighth of the sample at most
     blocked = placed.join(F.broadcast(sizes), "cell").select((F.col("cell") * (1 << 20) + F.pmod(F.xxhash64("rep"), F.ceil(F.col("held") / size))).alias("block"), "rep", "n", "x")
 
     def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,22 +227,28 @@ def _links(groups: DataFrame, dim: int, threshold: float) -> DataFrame:
         block, rep, count = block[order], rep[order], count[order]
         x = _stack(t["x"].to_pylist())[order]
         mine, theirs = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        linked, root = np.zeros(len(rep), np.int64), np.arange(len(rep))
-        for i, j in compare(x[mine], x[theirs], threshold, first == second):
+        linked, root, near = np.zeros(len(rep), np.int64), np.arange(len(rep)), []
+        for i, j, cosine in compare(x[mine], x[theirs], threshold, first == second):
             i, j = mine[i], theirs[j]
+            sure = cosine >= threshold + _EPS
+            near.append(np.column_stack([rep[i[~sure]], rep[j[~sure]]]))
+            i, j = i[sure], j[sure]
             linked += np.bincount(i, count[j], len(rep)).astype(np.int64) + np.bincount(j, count[i], len(rep)).astype(np.int64)
             root = _roots(len(rep), i, j, root)
         got = np.flatnonzero(linked)
-        return pa.table({"rep": rep[got], "links": linked[got], "root": rep[root[got]]})
+        near = np.concatenate(near) if near else np.zeros((0, 2), np.int64)
+        none = [None] * len(near)
+        return pa.table([pa.array([*rep[got], *near[:, 0]], pa.int64()), pa.array([*linked[got], *none], pa.int64()), pa.array([*rep[root[got]], *none], pa.int64()), pa.array([None] * len(got) + list(near[:, 1]), pa.int64())], ["rep", "links", "root", "other"])
 
-    return met.groupBy("a", "b").applyInArrow(meet, "rep long, links long, root long")
+    return met.groupBy("a", "b").applyInArrow(meet, "rep long, links long, root long, other long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept: a row for each row of vectors.
 
     A vector that is null, empty or zero, or that holds a null or non-finite component, links with nothing, nor does one without
-    vec_id or of another length. Repeated rows are vectors of their own and link with each other. No vectors: no rows.
+    vec_id or of another length. Repeated rows are vectors of their own and link with each other. A cosine of exactly the threshold (a tie)
+    is a link, by the vectors as they were given in double precision. Columns beside vec_id and embedding aren't read. No vectors: no rows.
     """
     made = c.settle(_clean(vectors))
     groups = made.filter("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
@@ -211,4 +263,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
 
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """near_duplicates() over all embeddings: a row for each, null, zero and repeated vectors included; an empty table gives no rows."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

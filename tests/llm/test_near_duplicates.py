@@ -160,6 +160,28 @@ def test_embeddings(spark, monkeypatch, block, strip):
     assert all(r["kept"] == (i == roots[i]) for i, r in got.items()) and max(links) >= 39
 
 
+def test_ties_are_links(spark):
+    """Cosines of exactly 19/20, and a hair below: by the vectors as given, not by what rotation makes of them."""
+    rng = np.random.RandomState(9)
+    tie, below = [19.0, 5.0, 3.0, 2.0, 1.0], [19.0, 5.0, 3.0, 2.0, np.nextafter(1.0, 2) + 1e-12]
+    v = [[1.0, 0, 0, 0, 0], tie, [0, 1.0, 0, 0, 0], [5.0, 19.0, 1.0, 3.0, 2.0], [0, 0, 0, 0, -3.0], [-2.0, 3.0, 1.0, 5.0, -19.0], *rng.randn(60, 5).tolist()]
+    links, roots = brute(v)
+    assert links[1] >= 1 and links[3] >= 1 and links[5] >= 1
+    df = lambda v: spark.createDataFrame([(i, [float(c) for c in x]) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: r for r in E.near_duplicates(df(v)).collect()}
+    assert [got[i]["n_links"] for i in range(len(v))] == links and [got[i]["component_id"] for i in range(len(v))] == roots
+    assert [r["n_links"] for r in E.near_duplicates(df([v[0], below])).collect()] == [0, 0]
+    assert {r["n_links"] for r in E.near_duplicates(df([[1e200, 0, 0, 0, 0], [19e200, 5e200, 3e200, 2e200, 1e200]])).collect()} <= {0, 1}  # too large to be squared
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK_BYTES", 8 * 24 * 10)
+    monkeypatch.setattr(E, "LEAST_BLOCK", 1)
+    v = list(vectors_of(np.random.RandomState(4), 150, 24, [(40, 0.02), (12, 0.2)]))
+    got = {r["vec_id"]: r["n_links"] for r in E.near_duplicates(frame(spark, v)).collect()}
+    assert [got[i] for i in range(len(v))] == brute(v)[0]
+
+
 def test_embeddings_odd_tables(spark):
     assert E.near_duplicates(frame(spark, [[1.0, 2.0]]).limit(0)).collect() == []
     assert [tuple(r) for r in E.near_duplicates(frame(spark, [None, []])).orderBy("vec_id").collect()] == [(0, 0, 0, True), (1, 0, 1, True)]
@@ -172,5 +194,7 @@ def test_bound_misses_nothing():
     x = E._unit(vectors_of(rng, 300, 40, [(80, 0.1), (50, 0.16), (30, 0.18)]))
     s = x @ x.T
     for same, want in ((True, np.argwhere(np.triu(s >= 0.95, 1))), (False, np.argwhere(s >= 0.95 + 1e-12))):
-        got = [p for i, j in E.compare(x, x, 0.95, same) for p in zip(i.tolist(), j.tolist())]
+        found = [p for i, j, c in E.compare(x, x, 0.95, same) for p in zip(i.tolist(), j.tolist(), c.tolist())]
+        got = [p[:2] for p in found]
+        assert all(abs(s[i, j] - c) < 1e-12 and c >= 0.95 - 1e-9 for i, j, c in found)
         assert {tuple(p) for p in want.tolist()} <= set(got) and len(got) == len(set(got))
