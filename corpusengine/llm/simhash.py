@@ -206,7 +206,8 @@ def single(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     linked = components(links(fps.select("fp", F.col("fp").alias("rep")), radius))
     classes = fps.join(linked, fps["fp"] == linked["node"], "left").select("fp", F.coalesce("component", "fp").alias("of"), "first")
     stays = classes.groupBy("of").agg(F.min("first").alias("stays"))
-    kept = classes.select("fp", "of").join(stays, "of").select("fp", F.col("stays.row").alias("stays"))
+    stays = stays.select(F.col("of").alias("_of"), "stays")
+    kept = classes.join(stays, F.bitwise_not("of") == F.bitwise_not("_of")).select("fp", F.col("stays.row").alias("stays"))  # dealt anew, so that a large group can be split
     leaving = c.settle(made.select("fp", "row").join(kept, "fp").filter(F.col("row") != F.col("stays")).select(F.col("row").alias("_row")))
     few = leaving.count() <= LEAVING
     return rows.join(F.broadcast(leaving) if few else leaving, "_row", "left_anti").select(*docs.columns)
