@@ -35,14 +35,21 @@ def mentions(terms: DataFrame, texts: DataFrame, key: list[str], blob: str, *, d
 
 
 def counted(pairs: DataFrame, texts: DataFrame, key: list[str], blob: str, *, digits: bool = False) -> DataFrame:
-    """pairs with n: matches of the term's pattern in the text, at least 1."""
-    pattern = T.name_pattern(F.col("term")) if digits else T.letter_pattern(F.col("term"))
-    rows = pairs.join(texts.select(*key, F.lower(F.coalesce(F.col(blob), F.lit(""))).alias("_b")), key)
-    return rows.withColumn("n", F.regexp_count("_b", pattern).cast("long")).drop("_b").filter("n > 0")
+    """pairs with n: matches of the term's pattern in the text, at least 1.
+
+    A text meets all the terms found in it at once, so that it moves once and is never repeated.
+    """
+    pattern = T.name_pattern if digits else T.letter_pattern
+    terms = [c for c in pairs.columns if c not in key]
+    found = pairs.groupBy(*key).agg(F.collect_list(F.struct(*terms)).alias("_t"))
+    rows = found.join(texts.select(*key, F.lower(F.coalesce(F.col(blob), F.lit(""))).alias("_b")), key)
+    each = F.transform("_t", lambda t: F.struct(*[t[c].alias(c) for c in terms], F.regexp_count(F.col("_b"), pattern(t["term"])).cast("long").alias("n")))
+    out = rows.select(*key, F.explode(each).alias("x"))
+    return out.select(*[F.col(c) if c in key else F.col(f"x.{c}") for c in pairs.columns], "x.n").filter("n > 0")
 
 
 def theta_mentions(terms: DataFrame, texts: DataFrame, key: list[str], blob: str, *, digits: bool = False) -> DataFrame:
-    """What mentions() and counted() give, literally: every term against every text. For tests and a handful of terms."""
+    """What mentions() and counted() give, literally: every term against every text, the terms broadcast. For tests only: nothing checks their size."""
     pattern = T.name_pattern(F.col("term")) if digits else T.letter_pattern(F.col("term"))
     rows = texts.select(*key, F.lower(F.coalesce(F.col(blob), F.lit(""))).alias("_b"))
     return rows.join(F.broadcast(terms), F.regexp_like("_b", pattern)).withColumn("n", F.regexp_count("_b", pattern).cast("long")).drop("_b")

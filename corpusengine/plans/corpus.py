@@ -19,12 +19,18 @@ SOURCES = ["europepmc", "openalex", "arxiv", "patents", "surechembl", "epo_ops",
 
 
 def candidates(store: Store) -> DataFrame:
-    """Manifest lines with their raw documents; lines whose file is gone are passed over. _at orders lines as manifests sort."""
+    """Manifest lines with their raw documents; lines whose file is gone are passed over. _at orders lines as manifests sort.
+
+    A source's manifests are pieces of one, a landing each: of a document's lines in them the last counts.
+    """
     spark = store.spark
-    pattern = store.raw("*", "manifest.jsonl")
+    pattern = store.raw("*", "manifest*.jsonl")
     if not store._fs.globStatus(store._path(pattern)):
         return spark.createDataFrame([], schema("manifest")).withColumns({"raw_xml": F.lit(""), "_at": F.struct(F.lit(""), F.lit(0).cast("long"))})
     lines = spark.read.schema(schema("manifest")).json(pattern).select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"))
+    folder = F.element_at(F.split("_file", "/"), -2)
+    last = lines.groupBy(folder.alias("_folder"), "pmcid").agg(F.max(F.struct("_file", "_line")).alias("_last"))
+    lines = lines.join(last.select("_last._file", "_last._line"), ["_file", "_line"], "left_semi")
     base = F.regexp_extract("xml_file", r"(?:^|.*/)raw/(.*)$", 1)
     tail = F.when(base != "", base).otherwise(F.concat_ws("/", F.element_at(F.split("_file", "/"), -2), F.element_at(F.split("xml_file", "/"), -1)))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{xml,json}").option("recursiveFileLookup", "true").load(store.raw())
@@ -39,9 +45,9 @@ def judge(rows: DataFrame, limits: quality.Thresholds | None = None) -> DataFram
 
 
 def latest(rows: DataFrame, key: str = "pmcid") -> DataFrame:
-    """Of each key the last line."""
-    w = Window.partitionBy(key).orderBy(F.desc("_at"))
-    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Of each key the last line: keys and places are compared first, documents join what is left of them."""
+    last = rows.groupBy(key).agg(F.max("_at").alias("_at"))
+    return rows.join(last, [key, "_at"], "left_semi")
 
 
 def sections(rows: DataFrame) -> DataFrame:

@@ -33,6 +33,9 @@ class Store:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def matches(self, pattern: str) -> bool:
+        return bool(self._fs.globStatus(self._path(pattern)))
+
     def raw(self, *parts: str) -> str:
         return "/".join([self.root, "raw", *parts])
 
@@ -111,4 +114,8 @@ class Store:
         path = f"{self.root}/{name}"
         if not self.exists(path):
             return None
-        return "\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect())
+        stream = self._fs.open(self._path(path))  # one small file of the driver's own
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
