@@ -123,7 +123,11 @@ def codec(path: str, pattern: str = public_tokenizers.PATTERN, leaf: int = LEAF)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: one row for each row of docs, no shuffle."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: one row for each row of docs, no shuffle.
+
+    Null and empty texts have no tokens; very long texts are encoded whole, in halves; repeated rows give repeated rows. No documents: no rows.
+    Columns beside doc_id and text aren't read.
+    """
 
     def row(doc_id: int | None, raw: bytes | None) -> tuple:
         coder = codec(vocabulary)
@@ -135,4 +139,5 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """encode_decode() over all documents: a row for each, null and empty texts (no tokens), repeated rows and very long texts included; an empty table gives no rows."""
     return encode_decode(c.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

@@ -191,9 +191,14 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
-    """All pieces of docs in as few sequences as the matching finds. No documents: no rows. Repeated rows are packed each."""
+    """All pieces of docs in as few sequences as the matching finds.
+
+    Null and empty texts are their end token alone; longer ones than a sequence are cut; repeated rows are packed each; pieces of equal length (ties)
+    are interchangeable. No documents: no rows. Columns beside doc_id and text aren't read.
+    """
     return pack(c.settle(pieces(docs, vocabulary, capacity)), capacity)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pack_documents() over all documents: a row for each piece; null, empty, repeated and very long texts included; an empty table gives no rows."""
     return pack_documents(c.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))

@@ -384,7 +384,11 @@ def joined(found: list[tuple[str, int, int]]) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: a row for each row of docs, no shuffle. Null texts are empty and hold nothing."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans: a row for each row of docs, no shuffle.
+
+    Null and empty texts hold nothing; very long texts are read whole; repeated rows give repeated rows. Spans that start at one place (ties) come in
+    the order of KINDS. No documents: no rows. Columns beside doc_id and text aren't read.
+    """
 
     def row(doc_id: int | None, raw: bytes | None) -> tuple:
         _, base, every = spans(raw)
@@ -419,4 +423,5 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scan() over all documents: a row for each, null and empty texts (no spans), repeated rows and very long texts included; an empty table gives no rows."""
     return scan(c.documents(spark, sf_dir))

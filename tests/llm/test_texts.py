@@ -352,6 +352,29 @@ def test_rollup(spark, docs, tmp_path):
     assert ledger.commit("all", rollup.delete(ledger.totals())) and ledger.totals().collect() == []
 
 
+def test_bpe_counts_beside_the_others(spark, odd, tmp_path):
+    ledger = rollup.Ledger(spark, str(tmp_path / "ledger"))
+    ledger.commit("load", rollup.insert(rollup.rows_of(rollup.counted(odd, MULTI), "whole")))
+    got = {r["tokenizer"]: (r["n_docs"], r["n_tokens"]) for r in ledger.totals().collect()}
+    texts = [r["text"] or "" for r in odd.collect()]
+    assert got["bpe:byte_bpe_multi_50k.tiktoken"] == (len(texts), sum(len(PLAIN.encode_ordinary(t)) for t in texts)) and len(got) == 3
+
+
+def test_compaction(spark, docs, tmp_path):
+    ledger = rollup.Ledger(spark, str(tmp_path / "ledger"))
+    batch = lambda *texts: rollup.insert(rollup.rows_of(rollup.counted(docs(list(texts))), "whole"))
+    total = lambda: sorted(map(tuple, ledger.totals().collect()))
+    assert ledger.compact() == 0
+    ledger.commit("a", batch("x y", "z"))
+    ledger.commit("b", batch("p q r"))
+    before = total()
+    assert ledger.compact() == 2 and total() == before and ledger.committed("a") and not ledger.commit("b", batch("p q r")) and total() == before
+    assert ledger.commit("c", batch("s")) and ledger.compact() == 1 and ledger.compact() == 0 and [len(ledger._names(k)) for k in ("base", "batch")] == [1, 0]
+    after = total()
+    batch("x y", "z").write.parquet(f"{ledger.folder}/{ledger._key('a')}")  # a batch that a stop half-way left behind
+    assert total() == after and ledger.commit("d", batch("t u")) and {t[2]: t[4] for t in total()} == {"words-1": 9, "marks-1": 9}
+
+
 def test_a_draft_that_was_left_has_no_effect(spark, docs, tmp_path):
     ledger = rollup.Ledger(spark, str(tmp_path / "ledger"))
     rows = rollup.insert(rollup.rows_of(rollup.counted(docs(["a b"])), "whole"))
