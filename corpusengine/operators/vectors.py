@@ -113,6 +113,7 @@ class Lsa:
 
 
 _FLOATS = pa.list_(pa.float64())
+_TOGETHER = 64  # rows of a product that are added up in one place
 
 
 def _lists(m: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -167,13 +168,19 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
                 order = np.argsort(j, kind="stable")
                 total += _by_row(len(q), j[order], aq[i[order]] * w[order, None])
         some = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), _lists(total[some], _FLOATS)], ["row", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array(some // _TOGETHER, pa.int64()), pa.array(some, pa.int64()), _lists(total[some], _FLOATS)], ["block", "row", "v"])
 
-    cols = [F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(q.shape[1])]
-    got = rows.mapInArrow(part, "row long, v array<double>").groupBy("row").agg(F.array(*cols).alias("v")).toArrow()
+    def add(t: pa.Table) -> pa.Table:
+        """Rows of a block from every partition: one of each."""
+        at, v = t["row"].to_numpy(), t["v"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+        some, place = np.unique(at, return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        return pa.table([pa.array(some, pa.int64()), _lists(_by_row(len(some), place[order], v[order]), _FLOATS)], ["row", "v"])
+
+    got = rows.mapInArrow(part, "block long, row long, v array<double>").groupBy("block").applyInArrow(add, "row long, v array<double>").toArrow()
     out = np.zeros_like(q)
     if got.num_rows:
-        out[got["row"].to_numpy()] = np.array(got["v"].to_pylist())
+        out[got["row"].to_numpy()] = got["v"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)
     shared.unpersist()
     return out
 

@@ -6,6 +6,7 @@ half a table, and a job that dies leaves the old one. Tables that don't exist re
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,10 @@ from corpusengine.operators import merge
 from corpusengine.schemas import DATASETS, schema
 
 
+#: Landings of a feed that are kept apart, at most.
+MOST_LANDINGS = 32
+
+
 def fit(df: DataFrame, to: StructType) -> DataFrame:
     """The columns of a schema in its order: missing ones null, others cast, extra ones dropped."""
     have = {c.lower(): c for c in df.columns}
@@ -48,6 +53,9 @@ class Store:
 
     # ---- tables
 
+    def _list(self, at: str) -> list[str]:
+        return [x.getPath().getName() for x in self._fs.listStatus(self._path(at))] if self.exists(at) else []
+
     def _current(self, table: str) -> str | None:
         """The newest pointer's version."""
         at = f"{self.root}/warehouse/{table}"
@@ -79,20 +87,59 @@ class Store:
 
     # ---- landing
 
+    def _deltas(self, table: str) -> list[str]:
+        """Landings of a feed, oldest first."""
+        at = f"{self.root}/feeds/{table}"
+        return sorted(n for n in self._list(at) if n.startswith("landing-"))
+
+    def _landed(self, table: str, columns: list[str] | None = None) -> DataFrame:
+        """Rows of all landings, with _seq: later landings have larger ones. A landing has each key once."""
+        read = self.spark.read.schema(schema(table)).parquet(*[f"{self.root}/feeds/{table}/{n}" for n in self._deltas(table)])
+        seq = F.regexp_extract(F.col("_metadata.file_path"), r"/landing-(\d+)-", 1)
+        return read.select(*(columns or ["*"]), seq.alias("_seq"))
+
     def land(self, table: str, batch: DataFrame, keys: list[str]) -> tuple[int, int]:
-        """Merge a batch of records into a feed by key, the batch's last record of a key first. Returns (total, added)."""
-        feed, to = f"feed_{table}", schema(table)
-        order = F.monotonically_increasing_id()
-        old = (self.read(feed) if self.has(feed) else self.spark.createDataFrame([], to)).withColumn("_at", order)
-        new = fit(batch, to).withColumn("_at", order).persist()
-        n_added = merge.added(old, new, keys).count()
-        total = self.write(feed, merge.keyed_merge(old, new, keys, "_at"), to).count()
+        """Append a batch of records to a feed; of a key the batch's last record counts, and the last landing's. Returns (total, added).
+
+        What has landed is never rewritten here: earlier landings are read for their keys alone. Every MOST_LANDINGS landings they become one.
+        """
+        to = schema(table)
+        new = fit(batch, to).withColumn("_at", F.monotonically_increasing_id()).persist()
+        known = self._landed(table, keys).select(*keys).distinct() if self._deltas(table) else self.spark.createDataFrame([], to).select(*keys)
+        n_added, n_known = merge.added(known, new, keys).count(), known.count()
+        self._append(table, merge.keyed_merge(new.limit(0), new, keys, "_at"))
         new.unpersist()
-        return total, n_added
+        self.put_text(f"feeds/{table}/_keys", json.dumps(keys))
+        if len(self._deltas(table)) > MOST_LANDINGS:
+            self.compact(table)
+        return n_known + n_added, n_added
+
+    def _append(self, table: str, rows: DataFrame) -> None:
+        at, draft = f"{self.root}/feeds/{table}", f"_draft-{uuid.uuid4().hex}"
+        fit(rows, schema(table)).write.parquet(f"{at}/{draft}")
+        before = self._deltas(table)
+        n = int(before[-1].split("-")[1]) + 1 if before else 1
+        self._fs.rename(self._path(f"{at}/{draft}"), self._path(f"{at}/landing-{n:09d}-{draft[7:]}"))
+
+    def _merged(self, table: str) -> DataFrame:
+        keys = json.loads(self.get_text(f"feeds/{table}/_keys"))
+        last = self._landed(table, keys).groupBy(*keys).agg(F.max("_seq").alias("_last")).alias("k")
+        rows = self._landed(table).alias("r")
+        same = F.col("_seq") == F.col("_last")
+        for k in keys:
+            same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}"))
+        return rows.join(last, same, "left_semi").drop("_seq")
+
+    def compact(self, table: str) -> None:
+        """All landings of a feed as one; it comes after them, so that a stop before they are gone changes nothing."""
+        old = self._deltas(table)
+        self._append(table, self._merged(table))
+        for name in old:
+            self._fs.delete(self._path(f"{self.root}/feeds/{table}/{name}"), True)
 
     def feed(self, table: str) -> DataFrame | None:
-        """What has landed for a table: records merged by land(), and the NDJSON file of its name."""
-        parts = [self.read(f"feed_{table}")] if self.has(f"feed_{table}") else []
+        """What has landed for a table: records merged from its landings, and the NDJSON file of its name."""
+        parts = [self._merged(table)] if self._deltas(table) else []
         path = self.raw(DATASETS[table]) if table in DATASETS else None
         if path and self.exists(path):
             parts.append(self.spark.read.schema(schema(table)).json(path))

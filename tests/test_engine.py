@@ -180,6 +180,17 @@ def test_keyed_landing(store, spark):
     assert store.land("chembl_synonyms", spark.createDataFrame([("a", "INN", "x"), ("a", "BAN", "x")], ddl), ["chembl_id", "syn_type", "name"]) == (2, 1)
 
 
+def test_landings_are_compacted(store, spark, monkeypatch):
+    from corpusengine import store as module
+
+    monkeypatch.setattr(module, "MOST_LANDINGS", 2)
+    ddl = "chembl_id string, syn_type string, name string"
+    for k in range(4):
+        assert store.land("chembl_synonyms", spark.createDataFrame([("a", None, f"n{k}"), ("b", "INN", str(k))], ddl), ["chembl_id", "syn_type"]) == (2, 0 if k else 2)
+        assert rows(store.feed("chembl_synonyms")) == [("a", None, f"n{k}"), ("b", "INN", str(k))]
+    assert len(store._deltas("chembl_synonyms")) == 2
+
+
 def test_versions(store, spark):
     assert not store.has("doc_clusters") and store.read("doc_clusters").count() == 0
     for n in (1, 2, 3):
