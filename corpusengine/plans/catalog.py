@@ -186,10 +186,31 @@ def fixed_chunks(spark, d):
     return docs.select("doc_id", "chunk_id", F.size("chunk").alias("n_words"))
 
 
-@query()
+#: The fold of sentences into chunks, a sentence a step: held, the words of the chunk that is open; tail, the sentences that the next one opens with.
+_FOLD = r"""
+WITH RECURSIVE s AS (
+  SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+([A-Z0-9("''])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: list_filter(regexp_split_to_array(x, '\s+'), lambda w: w <> '')), lambda x: len(x) > 0) AS sentences FROM documents
+), f AS (
+  SELECT doc_id, 0 AS i, []::VARCHAR[] AS held, []::VARCHAR[][] AS tail, []::VARCHAR[][] AS made FROM s
+  UNION ALL
+  SELECT doc_id, i, CASE WHEN big THEN [] WHEN over THEN list_concat(flatten(tail), x) ELSE list_concat(held, x) END,
+    CASE WHEN big THEN [] WHEN over THEN [x] ELSE long[list_min(list_filter(generate_series(1, len(long)), lambda p: p = len(long) OR len(flatten(long[p:])) <= 40)):] END,
+    CASE WHEN big THEN list_concat(CASE WHEN len(held) > 0 THEN [held] ELSE [] END, list_transform(generate_series(0, CAST(greatest(ceil((len(x) - 220) / 180.0), 0) AS BIGINT)), lambda k: x[k * 180 + 1 : k * 180 + 220])) WHEN over THEN [held] ELSE [] END
+  FROM (SELECT *, len(x) > 220 AS big, len(held) > 0 AND len(held) + len(x) > 220 AS over, list_append(tail, x) AS long FROM (
+    SELECT f.doc_id, f.i + 1 AS i, held, tail, sentences[f.i + 1] AS x FROM f JOIN s ON s.doc_id = f.doc_id WHERE f.i < len(sentences)))
+), c AS (
+  SELECT doc_id, i, generate_subscripts(made, 1) AS j, unnest(made) AS words FROM f
+  UNION ALL SELECT f.doc_id, i + 1, 1, held FROM f JOIN s ON s.doc_id = f.doc_id WHERE i = len(sentences) AND len(held) > 0
+)
+SELECT CAST(doc_id AS VARCHAR) AS pmcid, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, j) - 1 AS INTEGER) AS chunk_id, 'abstract' AS sec_type, 'abstract' AS sec_kind, NULL::VARCHAR AS sec_title,
+  array_to_string(words, ' ') AS text, CAST(len(words) AS INTEGER) AS n_words, FALSE AS is_methods, FALSE AS is_results, 0::INTEGER AS n_figures, 0::INTEGER AS n_tables FROM c
+"""
+
+
+@query(_FOLD)
 def sentence_chunks(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("pmcid"), F.lit(0).alias("ordinal"), F.lit("abstract").alias("sec_type"), F.lit("abstract").alias("sec_kind"), F.lit(None).cast("string").alias("sec_title"), "text", F.lit(0).alias("n_figures"), F.lit(0).alias("n_tables"))
-    return chunking.chunks(docs)
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("pmcid"), F.lit(0).alias("ordinal"), F.lit("abstract").alias("sec_type"), F.lit("abstract").alias("sec_kind"), F.lit(None).cast("string").alias("sec_title"), "text", F.lit(0).alias("n_figures"), F.lit(0).alias("n_tables"))
+    return chunking.chunks(docs, 220, 40, True)
 
 
 _KINDS = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(h), {chr(39)}{k}{chr(39)})' for k in keys)} THEN '{kind}'" for kind, keys in T.SECTION_KINDS) + " ELSE 'body' END"

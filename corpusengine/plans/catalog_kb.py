@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusengine.functions import text as T
 from corpusengine.operators import quality
-from corpusengine.plans import analysis, corpus
+from corpusengine.plans import analysis, corpus, retrieval
 from corpusengine.plans.registry import query, table
 from corpusengine.plans.standin import Frames, answering
 from corpusengine.sources import flatten, parsers
@@ -236,6 +236,89 @@ def kb_corpus_report(spark, d):
     return spark.createDataFrame([(b, w, float(n)) for b, w, n in rows], "block string, what string, n double")
 
 
+_DRUG, _GENE = "smallring", "GEN1"
+
+
+def _parts(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """(block, what, more) of a dictionary of small lists."""
+    return spark.createDataFrame([(b, None if w is None else str(w), None if m is None else str(m)) for b, w, m in rows], "block string, what string, more string")
+
+
+@kb(f"""SELECT 'entity' AS block, sample_name AS what, CAST(n_forms AS VARCHAR) AS more FROM drugs WHERE drug_norm = '{_DRUG}'
+UNION ALL SELECT 'names', term, NULL FROM drug_names WHERE drug_norm = '{_DRUG}'
+UNION ALL SELECT * FROM (SELECT 'trials', nct_id, status FROM drug_trial JOIN clinical_trials USING (nct_id) WHERE drug_norm = '{_DRUG}' ORDER BY in_intervention DESC NULLS LAST, nct_id LIMIT 8)
+UNION ALL SELECT * FROM (SELECT 'papers', pmcid, source FROM drug_document JOIN documents_raw USING (pmcid) WHERE drug_norm = '{_DRUG}' AND confidence = 'strong' ORDER BY in_metadata DESC, n_body DESC, pmcid LIMIT 8)
+UNION ALL SELECT 'weak', CAST(count(*) AS VARCHAR), NULL FROM drug_document WHERE drug_norm = '{_DRUG}' AND confidence = 'weak'
+UNION ALL SELECT DISTINCT 'targets', gene, action_type FROM drug_protein WHERE drug_norm = '{_DRUG}'""")
+def kb_explore_drug(spark, d):
+    got = analysis.explore_drug(Frames(spark, d), "Small-Ring Sodium".replace("-", ""))
+    rows = [("entity", e[2], e[0]) for e in got["entity"]] + [("names", n, None) for n in got["names"]] + [("trials", t[0], t[2]) for t in got["trials"]] + [("papers", p[0], p[1]) for p in got["papers"]]
+    return _parts(spark, [*rows, ("weak", got["weak"], None), *[("targets", t[0], t[1]) for t in got["targets"]]])
+
+
+@kb(f"""SELECT 'entity' AS block, accession AS what, organism AS more FROM uniprot_proteins WHERE gene = '{_GENE}'
+UNION ALL SELECT 'n_structures', CAST(count(*) AS VARCHAR), NULL FROM protein_structure WHERE gene = '{_GENE}'
+UNION ALL SELECT * FROM (SELECT DISTINCT 'drugs', drug_norm, action_type FROM drug_protein WHERE gene = '{_GENE}' ORDER BY 2, 3 LIMIT 12)
+UNION ALL SELECT * FROM (SELECT 'papers', pmcid, source FROM protein_document JOIN documents_raw USING (pmcid) WHERE gene = '{_GENE}' AND confidence = 'strong' ORDER BY in_metadata DESC, n_body DESC, pmcid LIMIT 6)""")
+def kb_explore_protein(spark, d):
+    got = analysis.explore_protein(Frames(spark, d), _GENE.lower())
+    rows = [("entity", e[0], e[2]) for e in got["entity"]] + [("n_structures", got["n_structures"], None)] + [("drugs", x[0], x[1]) for x in got["drugs"]]
+    return _parts(spark, [*rows, *[("papers", p[0], p[1]) for p in got["papers"]]])
+
+
+@kb("SELECT name, CAST(n AS BIGINT) AS n FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {x}" for t, x in {"entity_drugs": "drugs", "entity_drug_names": "drug_names", "link_drug_trial": "drug_trial", "link_drug_document": "drug_document", "link_drug_protein": "drug_protein", "link_protein_structure": "protein_structure", "link_protein_document": "protein_document"}.items()) + ")")
+def kb_link_counts(spark, d):
+    s = Frames(spark, d)
+    tables = ["entity_drugs", "entity_drug_names", "link_drug_trial", "link_drug_document", "link_drug_protein", "link_protein_structure", "link_protein_document"]
+    return reduce(DataFrame.unionByName, [s.read(t).agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), "n") for t in tables])
+
+
+@kb(f"""SELECT 'drug' AS block, '{_DRUG}' AS what, CAST(count(DISTINCT nct_id) AS VARCHAR) AS more FROM drug_trial WHERE drug_norm = '{_DRUG}' AND in_intervention
+UNION ALL SELECT DISTINCT 'target', gene, NULL FROM drug_protein WHERE drug_norm = '{_DRUG}'
+UNION ALL SELECT DISTINCT 'gene drug', drug_norm, NULL FROM drug_protein WHERE gene = '{_GENE}'""")
+def kb_graph_context(spark, d):
+    got = retrieval.graph_context(Frames(spark, d), f"Does {_DRUG.upper()} act on {_GENE.lower()}?")
+    rows = [("drug", x["drug"], x["trials"]) for x in got["drugs"]] + [("target", t, None) for x in got["drugs"] for t in x["targets"]]
+    return _parts(spark, [*rows, *[("gene drug", t, None) for x in got["genes"] for t in x["drugs"]]])
+
+
+@kb(f"""SELECT 'name' AS block, term AS what, '2' AS more FROM drug_names WHERE drug_norm = '{_DRUG}'
+UNION ALL SELECT DISTINCT 'condition', conditions, '1' FROM drug_trial JOIN clinical_trials USING (nct_id) WHERE drug_norm = '{_DRUG}' AND conditions IS NOT NULL
+UNION ALL SELECT DISTINCT 'protein', protein_name, '3' FROM drug_protein JOIN uniprot_proteins USING (accession) WHERE drug_norm = '{_DRUG}'""")
+def kb_drug_profile(spark, d):
+    """Parts of a drug's profile and how often the text has each."""
+    s = Frames(spark, d)
+    got = retrieval.drug_profile(s, _DRUG)
+    names = [r[0] for r in s.read("entity_drug_names").filter(F.col("drug_norm") == _DRUG).select("term").collect()]
+    parts = got["text"].split(". ")
+    return _parts(spark, [(block, w, parts.count(w)) for block, words in (("name", names), ("condition", got["conditions"]), ("protein", got["proteins"])) for w in words])
+
+
+@kb(f"""SELECT 'gene' AS block, lower('{_GENE}') AS what, '3' AS more UNION ALL SELECT 'protein', protein_name, '3' FROM uniprot_proteins WHERE gene = '{_GENE}' UNION ALL SELECT DISTINCT 'drug', drug_norm, '2' FROM drug_protein WHERE gene = '{_GENE}'""")
+def kb_gene_profile(spark, d):
+    got = retrieval.gene_profile(Frames(spark, d), _GENE)
+    parts = got["text"].split(". ")
+    return _parts(spark, [(block, w, parts.count(w)) for block, words in (("gene", [_GENE.lower()]), ("protein", [got["protein_name"]]), ("drug", got["drugs"])) for w in words])
+
+
+@kb("""SELECT 'rows' AS block, 'chembl_molecules' AS what, CAST(count(*) AS VARCHAR) AS more FROM chembl_molecules UNION ALL SELECT 'rows', 'clinical_trials', CAST(count(*) AS VARCHAR) FROM clinical_trials
+UNION ALL SELECT 'rows', 'uniprot_proteins', CAST(count(*) AS VARCHAR) FROM uniprot_proteins UNION ALL SELECT 'rows', 'pubchem_compounds', CAST(count(*) AS VARCHAR) FROM pubchem_compounds
+UNION ALL SELECT 'rows', 'ensembl_genes', CAST(count(*) AS VARCHAR) FROM ensembl_genes UNION ALL SELECT 'rows', 'binding_affinities', CAST(count(*) AS VARCHAR) FROM binding_affinities
+UNION ALL SELECT 'trials_by_status', status, CAST(count(*) AS VARCHAR) FROM clinical_trials GROUP BY status UNION ALL SELECT 'affinities', affinity_type, CAST(count(*) AS VARCHAR) FROM binding_affinities GROUP BY affinity_type
+UNION ALL SELECT * FROM (SELECT 'molecules', chembl_id, pref_name FROM chembl_molecules WHERE pref_name IS NOT NULL ORDER BY max_phase DESC NULLS LAST, chembl_id LIMIT 6)
+UNION ALL SELECT * FROM (SELECT 'genes', gene, ensembl_id FROM ensembl_genes ORDER BY gene LIMIT 5)""")
+def kb_datasets(spark, d):
+    got = analysis.datasets(Frames(spark, d))
+    return _parts(spark, [(block, r[0], r[1]) for block in ("rows", "trials_by_status", "affinities", "molecules", "genes") for r in got[block]])
+
+
+@query("SELECT conv_id, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) WHERE r = 1")
+def latest_turns(spark, d):
+    """Of each conversation the last turn, as of each document the last line."""
+    rows = table(spark, d, "conversations").withColumn("_at", F.struct(F.lit("f"), "turn"))
+    return corpus.latest(rows, "conv_id").select("conv_id", "role", "text")
+
+
 # ---- parsers
 
 
