@@ -29,7 +29,7 @@ from corpusengine.llm import _common as c
 
 K, CHUNK, FOLDS, HELD_OUT = 5, 3_000_000, 7, 2
 #: Tokens behind a part of the model: a part holds the different words or pairs of so many, at most; there is a task for each part.
-PART = 6_000_000
+PART = 3_000_000
 END = xxhash.xxh64_intdigest(b"\n</s>")  # no word has a line feed
 _SLOT = 1 << 20
 
