@@ -112,16 +112,6 @@ def kb_protein_documents(spark, d):
     return Frames(spark, d).read("link_protein_document")
 
 
-@kb("SELECT drug_norm, count(*) AS pairs, count(DISTINCT pmcid) AS papers FROM (SELECT DISTINCT t.drug_norm, t.nct_id, p.pmcid FROM drug_trial t JOIN drug_document p USING (drug_norm) WHERE in_intervention AND confidence = 'strong' AND p.pmcid < 'PMC2') GROUP BY drug_norm")
-def kb_trial_documents(spark, d):
-    """Pairs are counted by drug: trials and papers of a drug multiply."""
-    s = Frames(spark, d)
-    early = s.read("link_drug_document").filter("pmcid < 'PMC2'")
-    from corpusengine.plans import graph
-
-    return graph.trial_documents(s.read("link_drug_trial"), early).groupBy("drug_norm").agg(F.count("*").alias("pairs"), F.countDistinct("pmcid").alias("papers"))
-
-
 @kb("SELECT drug_norm, chembl_id, accession, gene, action_type FROM drug_protein")
 def kb_drug_proteins(spark, d):
     return Frames(spark, d).read("link_drug_protein")

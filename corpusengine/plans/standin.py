@@ -21,20 +21,20 @@ FEEDS = {
     "chembl_mechanisms": """SELECT DISTINCT 'CHEMBL' || CAST(l_partkey AS STRING) AS molecule_chembl_id, 'T' || CAST(l_suppkey AS STRING) AS target_chembl_id, l_returnflag AS action_type FROM {lineitem} WHERE l_quantity >= 46""",
     "clinical_trials": f"""SELECT 'NCT' || CAST(o_orderkey AS STRING) AS nct_id, 'Trial of ' || min(p_type) || ' and ' || min({_NAME}) AS title, min(o_orderstatus) AS status, 'PHASE' || substr(min(o_orderpriority), 1, 1) AS phases,
       CASE WHEN min(o_totalprice) > 50000 THEN min(o_orderpriority) END AS conditions, CASE WHEN min(o_orderstatus) <> 'P' THEN 'DRUG:' || upper(max({_NAME})) || '; OTHER:' || max(p_brand) END AS interventions
-      FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey WHERE l_discount > 0.05 GROUP BY o_orderkey""",
+      FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey WHERE l_discount > 0.05 AND o_totalprice < 100000 GROUP BY o_orderkey""",
     "uniprot_proteins": """SELECT 'P' || CAST(s_suppkey AS STRING) AS accession, CASE WHEN s_nationkey > 2 THEN 'GEN' || CAST(s_suppkey AS STRING) END AS gene, s_name AS protein_name, 'Organism ' || CAST(s_nationkey AS STRING) AS organism,
       CASE WHEN s_acctbal > 0 THEN 'X' || CAST(s_suppkey AS STRING) || '; Y' || CAST(s_nationkey AS STRING) || ' ;' END AS pdb_ids, 'T' || CAST(s_suppkey AS STRING) AS chembl_target,
       'Vendor number ' || CAST(s_suppkey AS STRING) || ' of steel;receptor;alpha beta;stock' || CAST(s_suppkey AS STRING) AS aliases FROM {supplier}""",
     "pubchem_compounds": "SELECT p_partkey AS cid, 'KEY-' || CAST(p_partkey AS STRING) AS inchi_key, p_name AS query FROM {part} WHERE p_retailprice < 1000",
     "ensembl_genes": "SELECT CASE WHEN s_acctbal > 2000 THEN 'GEN' ELSE 'gen' END || CAST(s_suppkey AS STRING) AS gene, 'ENSG' || CAST(s_suppkey AS STRING) AS ensembl_id, CAST(s_nationkey AS STRING) AS chromosome, 'protein_coding' AS biotype FROM {supplier}",
     "binding_affinities": "SELECT 'P' || CAST(l_suppkey AS STRING) AS accession, 'T' || CAST(l_suppkey AS STRING) AS target, l_returnflag AS affinity_type, CASE WHEN l_tax > 0 THEN l_extendedprice END AS affinity_nm FROM {lineitem}",
-    "documents_raw": f"""SELECT 'PMC' || CAST(o_orderkey AS STRING) AS pmcid, CASE WHEN min(o_totalprice) > 1500 THEN 'About ' || min({_NAME}) ELSE ' ' END AS title, 'Uses of ' || max({_NAME}) || ' and stock' || CAST(min(l_suppkey) AS STRING) AS abstract,
+    "documents_raw": f"""SELECT 'PMC' || CAST(o_orderkey AS STRING) AS pmcid, CASE WHEN min(o_custkey) > 5 THEN 'About ' || min({_NAME}) ELSE ' ' END AS title, 'Uses of ' || max({_NAME}) || ' and stock' || CAST(min(l_suppkey) AS STRING) AS abstract,
       CASE WHEN min(o_orderpriority) < '2' THEN 'europepmc' WHEN min(o_orderpriority) < '4' THEN 'openalex' ELSE 'arxiv' END AS source, CASE WHEN min(o_orderstatus) <> 'P' THEN ' 10.' || CAST(min(o_custkey) AS STRING) || '/X' END AS doi,
-      CASE WHEN min(o_totalprice) > 5000 THEN CAST(year(min(o_orderdate)) AS INT) ELSE 12 END AS pub_year, min(p_type) || '; ' || max(p_brand) AS mesh, max(p_type) || '; ;' || min(p_type) AS keywords, min(o_orderstatus) = 'F' AS has_body, 'Journal ' || min(p_type) AS journal
-      FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey GROUP BY o_orderkey""",
+      CASE WHEN min(o_custkey) > 20 THEN CAST(year(min(o_orderdate)) AS INT) ELSE 12 END AS pub_year, min(p_type) || '; ' || max(p_brand) AS mesh, max(p_type) || '; ;' || min(p_type) AS keywords, min(o_orderstatus) = 'F' AS has_body, 'Journal ' || min(p_type) AS journal
+      FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey WHERE o_totalprice > 400000 GROUP BY o_orderkey""",
     "doc_sections": f"""SELECT 'PMC' || CAST(l_orderkey AS STRING) AS pmcid, l_linenumber AS ordinal, CASE WHEN l_tax < 0.04 THEN 'abstract' ELSE 'body' END AS sec_type, 'body' AS sec_kind,
       CASE WHEN l_quantity > 1 THEN {_NAME} || ', ' || {_NAME} || ' from Vendor-Number ' || CAST(l_suppkey AS STRING) || ' of Steel, gen' || CAST(l_suppkey AS STRING) ELSE '' END AS text, CAST(l_quantity AS INT) - 1 AS n_words
-      FROM {{lineitem}} JOIN {{part}} ON p_partkey = l_partkey""",
+      FROM {{lineitem}} JOIN {{part}} ON p_partkey = l_partkey WHERE l_quantity > 30 OR l_quantity < 2""",
     "doc_chunks": "SELECT 'PMC' || CAST(l_orderkey AS STRING) AS pmcid, l_linenumber AS chunk_id, 'words' AS text, CAST(l_quantity * 10 AS INT) AS n_words, l_returnflag = 'A' AS is_methods FROM {lineitem}",
 }
 _BASE = "region nation customer supplier part orders lineitem".split()
