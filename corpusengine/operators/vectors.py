@@ -140,8 +140,8 @@ def fit(docs: DataFrame, text: str, dims: int = 128, min_df: int = 2, size: int
             ends = pa.array(np.searchsorted(i, np.arange(b.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(j, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w, pa.float64()))], ["j", "w"])
 
-    # As many partitions as there are tasks at a time, at most: each sends terms x dims numbers, however large the corpus.
-    rows = docs.select(F.col(text).alias("t")).mapInArrow(sparse, "j array<int>, w array<double>").filter(F.size("j") > 0).coalesce(spark.sparkContext.defaultParallelism)
+    # As many partitions as there are tasks at a time, evenly filled: each sends terms x dims numbers, however large the corpus.
+    rows = docs.select(F.col(text).alias("t")).mapInArrow(sparse, "j array<int>, w array<double>").filter(F.size("j") > 0).repartition(spark.sparkContext.defaultParallelism)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(ITERATIONS):
         q = np.linalg.qr(_gram_times(rows, q))[0]
