@@ -83,21 +83,24 @@ class Lsa:
     def dims(self) -> int:
         return self.directions.shape[1]
 
+    def row(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Columns, each once, and weights of a text."""
+        n = {c: k for term, k in Counter(words(text)).items() if (c := self.terms.get(term)) is not None}
+        j = np.fromiter(n.keys(), np.int64, len(n))
+        return j, np.log1p(np.fromiter(n.values(), float, len(n))) * self.weights[j]
+
     def rows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sparse (row, column, weight) of texts, rows in order."""
-        i, j, w = [], [], []
-        for k, t in enumerate(texts):
-            for term, n in Counter(words(t)).items():
-                c = self.terms.get(term)
-                if c is not None:
-                    i.append(k)
-                    j.append(c)
-                    w.append(np.log1p(n) * self.weights[c])
-        return np.array(i, np.int64), np.array(j, np.int64), np.array(w, float)
+        each = [self.row(t) for t in texts]
+        j, w = (np.concatenate([x[k] for x in each] or [np.zeros(0, kind)]) for k, kind in ((0, np.int64), (1, float)))
+        return np.repeat(np.arange(len(each)), [len(x[0]) for x in each]), j, w
 
     def embed(self, texts: list[str | None]) -> np.ndarray:
-        i, j, w = self.rows(texts)
-        x = _by_row(len(texts), i, self.directions[j] * w[:, None])
+        """Text by text: what is held beside the result is one text's terms x dims numbers, however many texts there are."""
+        x = np.zeros((len(texts), self.dims))
+        for k, t in enumerate(texts):
+            j, w = self.row(t)
+            x[k] = w @ self.directions[j]
         return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
     def embed_query(self, text: str) -> list[float]:
@@ -114,6 +117,7 @@ class Lsa:
 
 _FLOATS = pa.list_(pa.float64())
 _TOGETHER = 64  # rows of a product that are added up in one place
+_TEXTS = 512  # texts that are weighed at a time
 
 
 def _lists(m: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -135,14 +139,14 @@ def fit(docs: DataFrame, text: str, dims: int = 128, min_df: int = 2, size: int
     shared = spark.sparkContext.broadcast(model)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, _TEXTS) for whole in batches for at in range(0, whole.num_rows, _TEXTS)):
             i, j, w = shared.value.rows(b.column(0).to_pylist())
             ends = pa.array(np.searchsorted(i, np.arange(b.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(j, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(w, pa.float64()))], ["j", "w"])
 
     # As many partitions as there are tasks at a time, evenly filled: each sends terms x dims numbers, however large the corpus.
     rows = docs.select(F.col(text).alias("t")).mapInArrow(sparse, "j array<int>, w array<double>").filter(F.size("j") > 0).repartition(spark.sparkContext.defaultParallelism)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.persist(StorageLevel.DISK_ONLY)  # each pass reads it once, in order; the heap is left to the tasks
     for _ in range(ITERATIONS):
         q = np.linalg.qr(_gram_times(rows, q))[0]
     b = _gram_times(rows, q)
@@ -152,6 +156,13 @@ def fit(docs: DataFrame, text: str, dims: int = 128, min_df: int = 2, size: int
     return model
 
 
+def _add_gram(total: np.ndarray, j: np.ndarray, w: np.ndarray, ends: np.ndarray, q: np.ndarray) -> None:
+    """Adds (A'A) q for some rows of A, row by row: a row has a column once, and its terms x dims numbers are all that is held."""
+    for s, e in zip(ends[:-1], ends[1:], strict=True):
+        at, by = j[s:e], w[s:e]
+        total[at] += np.outer(by, by @ q[at])
+
+
 def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     """(A'A) q for the weighted matrix A in sparse rows (j, w): each partition adds up its own part, parts are added by row in Spark."""
     shared = rows.sparkSession.sparkContext.broadcast(q)
@@ -159,14 +170,9 @@ def _gram_times(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = shared.value
         total = np.zeros_like(q)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                j, w = b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy()
-                i = np.repeat(np.arange(b.num_rows), np.diff(b.column(0).offsets.to_numpy()))
-                aq = _by_row(b.num_rows, i, q[j] * w[:, None])
-                order = np.argsort(j, kind="stable")
-                total += _by_row(len(q), j[order], aq[i[order]] * w[order, None])
+        for b in batches:
+            j, w, ends = b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy(), b.column(0).offsets.to_numpy()
+            _add_gram(total, j, w, ends - ends[0], q)
         some = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some // _TOGETHER, pa.int64()), pa.array(some, pa.int64()), _lists(total[some], _FLOATS)], ["block", "row", "v"])
 

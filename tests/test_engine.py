@@ -256,6 +256,34 @@ def test_decomposition_spans_the_right_space(spark):
     assert np.allclose(np.linalg.norm(v, axis=1), 1, atol=1e-5) and m.embed(["nothing known"]).any() == False  # noqa: E712
 
 
+def test_embedding_holds_one_text_at_a_time():
+    """All texts' terms x dims numbers at once were 8 GB for a batch of 10,000 documents of 800 terms."""
+    import tracemalloc
+
+    import numpy as np
+
+    from corpusengine.operators import vectors
+
+    rng = np.random.RandomState(2)
+    names = [f"w{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(2000)]
+    m = vectors.Lsa({t: k for k, t in enumerate(names)}, rng.rand(2000) + 1, rng.randn(2000, 64))
+    texts = [" ".join(rng.choice(names, 500)) for _ in range(400)]
+    i, j, w = m.rows(texts)
+    a = np.zeros((len(texts), 2000))
+    a[i, j] = w
+    tracemalloc.start()
+    got = m.embed(texts)
+    embedding = tracemalloc.get_traced_memory()[1]
+    total, ends = np.zeros((2000, 64)), np.searchsorted(i, np.arange(len(texts) + 1))
+    tracemalloc.reset_peak()
+    vectors._add_gram(total, j, w, ends, m.directions)
+    product = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    x = a @ m.directions
+    assert np.allclose(got, x / np.linalg.norm(x, axis=1, keepdims=True), atol=1e-6) and np.allclose(total, a.T @ x)
+    assert embedding < 5e6 and product < 5e6
+
+
 def test_partitions_without_known_words(spark):
     """As a table of one row group read in many splits: most partitions are empty, some hold no word of the vocabulary."""
     from corpusengine.operators import vectors
