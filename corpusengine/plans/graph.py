@@ -57,14 +57,12 @@ def body_text(sections: DataFrame) -> DataFrame:
 
 
 def drug_trials(names: DataFrame, trials: DataFrame) -> DataFrame:
-    """Drugs named in a trial's interventions or title. in_intervention: null where the trial has no interventions."""
+    """Drugs named in a trial's interventions or title. in_intervention: null where the trial has no interventions. Trials are read once."""
     iv = F.col("interventions")
-    texts = trials.select("nct_id", F.concat_ws(" ", F.coalesce(iv, F.lit("")), F.coalesce("title", F.lit(""))).alias("blob"))
-    anywhere = M.mentions(names, texts, ["nct_id"], "blob")
-    inside = M.mentions(names, trials.filter(iv.isNotNull()).select("nct_id", "interventions"), ["nct_id"], "interventions").select("drug_norm", "nct_id").distinct().withColumn("_in", F.lit(True))
-    known = trials.groupBy("nct_id").agg(F.bool_or(iv.isNotNull()).alias("_iv"))
-    out = anywhere.select("drug_norm", "nct_id").distinct().join(inside, ["drug_norm", "nct_id"], "left").join(known, "nct_id")
-    return out.select("drug_norm", "nct_id", F.when(F.col("_in"), True).when(F.col("_iv"), False).alias("in_intervention"))
+    rows = trials.select("nct_id", iv.isNotNull().alias("_iv"), T.runs(iv).alias("_i"), T.runs(F.col("title")).alias("_t"))
+    marked = F.transform(F.array_union("_i", "_t"), lambda t: F.struct(t.alias("term"), F.when(F.col("_iv"), F.array_contains("_i", t)).alias("inside")))
+    each = rows.select("nct_id", F.explode(marked).alias("x")).select("nct_id", "x.term", "x.inside")
+    return each.join(names.select("drug_norm", "term"), "term").groupBy("drug_norm", "nct_id").agg(F.bool_or("inside").alias("in_intervention"))
 
 
 def _document_links(names: DataFrame, keys: list[str], meta: DataFrame, body: DataFrame, digits: bool, longest: int) -> DataFrame:

@@ -73,3 +73,23 @@ def test_weights_are_of_the_whole_vocabulary(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception):
         catalog.QUERIES["lsa_rank"](spark, str(tmp_path))
     assert asked == [128]
+
+
+def test_trials_are_read_once(spark):
+    from corpusengine.plans.standin import Frames
+
+    text = Frames(spark, SF).read("link_drug_trial")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet [o_orderkey") == 1
+
+
+def test_profile_counts_names_that_proteins_share(spark, tmp_path):
+    """Tables twice, with shifted keys: each supplier's name is the name of two proteins."""
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for t, keys in {"part": ["p_partkey"], "supplier": ["s_suppkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"]}.items():
+        shifted = ", ".join(f"CAST({k} + n * 1000000 AS BIGINT) AS {k}" for k in keys)
+        con.execute(f"COPY (SELECT t.* REPLACE ({shifted}) FROM '{SF}/{t}.parquet' t, range(2) r(n)) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got = sorted(tuple(r) for r in catalog.QUERIES["kb_drug_profile"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.execute(catalog.SQL["kb_drug_profile"]).fetchall())
+    assert {r[0] for r in got} == {"name", "condition", "protein"}
