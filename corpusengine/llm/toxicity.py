@@ -13,6 +13,7 @@ no column beside the text; each cluster's logits are moved so that its threshold
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -221,18 +222,8 @@ class Network:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Network:
-    """On at most ``rows`` labelled documents, four of five to learn from and the fifth to calibrate; no labels: every score is 0."""
-    picked = sample(docs, labels, "toxic", rows)
-
-    def row(doc_id: int, y: int, raw: bytes | None) -> tuple:
-        words = words_of(raw)
-        seen = {w: k for k, w in enumerate(dict.fromkeys(words))}
-        ids = np.array([hashed(w) for w in seen], np.int32).reshape(-1, 1 + len(PREFIXES))
-        return doc_id, y, ids.tobytes(), np.array([seen[w] for w in words], np.int32).tobytes()
-
-    made = c.map_rows(picked.select("doc_id", "y", "text"), row, "doc_id long, y int, ids binary, idx binary")
-    made = made.groupBy("doc_id").agg(F.min(F.struct("y", "ids", "idx")).alias("x")).select("doc_id", "x.*").toArrow().to_pylist()  # of repeated rows one
+def learnt(made: list[dict]) -> Network:
+    """Of rows with doc_id, y, ids and idx (a text's words as in Network), four of five to learn from and the fifth to calibrate; no rows: every score is 0."""
     made.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     net = Network()
     if not made:
@@ -249,6 +240,26 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Network:
     return net
 
 
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Network:
+    """On at most ``rows`` labelled documents, in one task (the sample's bounds hold for it); only the network comes to the driver."""
+    picked = sample(docs, labels, "toxic", rows)
+
+    def row(doc_id: int, y: int, raw: bytes | None) -> tuple:
+        words = words_of(raw)
+        seen = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        ids = np.array([hashed(w) for w in seen], np.int32).reshape(-1, 1 + len(PREFIXES))
+        return doc_id, y, ids.tobytes(), np.array([seen[w] for w in words], np.int32).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = [r for b in batches for r in b.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learnt(made))], pa.binary())], ["network"])
+
+    made = c.map_rows(picked.select("doc_id", "y", "text"), row, "doc_id long, y int, ids binary, idx binary")
+    made = made.groupBy("doc_id").agg(F.min(F.struct("y", "ids", "idx")).alias("x")).select("doc_id", "x.*")  # of repeated rows one
+    got = made.repartition(1).mapInArrow(run, "network binary").collect()  # one row, or none if there is nothing to learn from
+    return pickle.loads(got[0][0]) if got else learnt([])
+
+
 class Scorer:
     """A worker's network with the answers of the words it has met; how many it remembers, and how texts are batched, has no effect on scores."""
 

@@ -291,6 +291,24 @@ def test_sample_is_bounded_and_drawn_from_what_is_there(spark, docs):
     assert {r["doc_id"] for r in sample(longest, labels, "toxic", 20).collect()} == set(outside[:2])  # long texts are learnt from
 
 
+def test_network_is_learnt_in_a_task(docs, monkeypatch):
+    """The sample and what is made of it stay out of the driver, whose memory every stage of the pipeline shares."""
+    import corpusengine.llm.toxicity as mine
+
+    spark = docs([]).sparkSession
+    texts = [(i, f"some words and {'awful' if i % 3 == 0 else 'kind'} ones") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id long, toxic int")
+
+    def here(*_):
+        raise AssertionError("learnt in the driver")
+
+    monkeypatch.setattr(mine.Network, "fit", here)
+    net = mine.train(docs(texts), labels)
+    scores = dict(zip(("awful", "kind"), mine.Scorer(net)([b"some words and awful ones", b"some words and kind ones"]), strict=True))
+    assert scores["awful"] >= mine.THRESHOLD > scores["kind"]
+    assert mine.train(docs([]), labels).moved.tolist() == [1e3] and mine.train(docs(texts), labels.limit(0)).moved.tolist() == [1e3]
+
+
 def test_forgetting_has_no_effect(monkeypatch):
     net = X.Network()
     texts = [f"word{i} and word{i + 1} but word{i}".encode() for i in range(30)]
